@@ -11,10 +11,31 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 JSON_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
-_EXPONENT_FORM = r"^-?[0-9]\.[0-9]+E-?[0-9]+$"
-_WIDE_INTEGER = r"^-?[0-9]{19,}$"
-_MAX_UNSIGNED = "18446744073709551615"
-_MIN_SIGNED = "-9223372036854775808"
+# Texts that need a second look: containers, reals that Java prints with an exponent, and
+# integers that may not fit 64 bits.
+_RARE = r"^([\[{]|-?[0-9]\.[0-9]+E-?[0-9]+$|-?[0-9]{19,}$)"
+
+# Canonical text of a JSON number: integers of 64 bits as they are; reals, and wider integers, in
+# the shortest round-trip form, plain from 1e-5 up to 1e16 and with an exponent beyond.
+_NUMBER_TEXT = r"""
+CASE WHEN {text} RLIKE r'^-?[0-9]+$'
+          AND coalesce(try_cast({text} AS decimal(38,0))
+                       BETWEEN -9223372036854775808BD AND 18446744073709551615BD, false)
+     THEN {text}
+     WHEN instr(cast(cast({text} AS double) AS string), 'E') = 0
+     THEN cast(cast({text} AS double) AS string)
+     WHEN abs(cast({text} AS double)) >= 1e-5D AND abs(cast({text} AS double)) < 1e16D
+     THEN regexp_replace(cast(try_cast({text} AS decimal(38,21)) AS string), r'(\.[0-9]+?)0+$', '$1')
+     ELSE regexp_replace(cast(cast({text} AS double) AS string), r'(\.0)?E', 'e')
+END"""
+
+_QUOTED = r"""contains({source}, concat('"', replace(replace({text}, r'\', r'\\'), '"', r'\"'), '"'))"""
+
+_SCALAR_TEXT = (
+    "CASE WHEN {text} RLIKE r'" + _RARE + "' THEN CASE WHEN " + _QUOTED + " THEN {text}"
+    " WHEN left({text}, 1) IN ('{{', '[') THEN NULL ELSE " + _NUMBER_TEXT + " END ELSE {text} END"
+)
+_SCALAR_TEXT = _SCALAR_TEXT.replace(_RARE, _RARE.replace("{", "{{").replace("}", "}}"))
 
 
 def parse_json_column(df: DataFrame, text: str, schema: str, name: str) -> DataFrame:
@@ -37,49 +58,18 @@ def string_only(value: Column) -> Column:
     return F.when(F.schema_of_variant(value) == "STRING", value.cast("string"))
 
 
-def _double_text(text: Column) -> Column:
-    """Shortest round-trip form of a JSON real: plain from 1e-5 up to 1e16, exponent beyond."""
-    number = text.cast("double")
-    size = F.abs(number)
-    java = number.cast("string")
-    fixed = F.regexp_replace(java.try_cast("decimal(38,21)").cast("string"), r"(\.[0-9]+?)0+$", "$1")
-    exponent = F.regexp_replace(java, r"(\.0)?E", "e")
-    return (
-        F.when(~java.contains("E"), java)
-        .when((size >= 1e-5) & (size < 1e16), fixed)
-        .otherwise(exponent)
-    )
-
+def number_text(text: str) -> Column:
+    """Canonical text of a JSON number, given the name of a column with its text."""
+    return F.expr(_NUMBER_TEXT.format(text=text))
 
-def number_text(text: Column) -> Column:
-    """Canonical text of a JSON number given its text: integers as they are, reals as above."""
-    integer = text.rlike(r"^-?[0-9]+$")
-    fits = F.coalesce(
-        text.try_cast("decimal(38,0)").between(
-            F.lit(_MIN_SIGNED).cast("decimal(38,0)"), F.lit(_MAX_UNSIGNED).cast("decimal(38,0)")
-        ),
-        F.lit(False),
-    )
-    return F.when(integer & fits, text).otherwise(_double_text(text))
 
-
-def scalar_text(text: Column, source: Column) -> Column:
+def scalar_text(text: str, source: str) -> Column:
     """Text of a JSON scalar field; null for null, arrays and objects.
 
-    `text` is a text field read by `from_json`, `source` the JSON document it was read from.
+    `text` names a text field read by `from_json`, `source` the JSON document it was read from.
+    The rule is one SQL expression, because dozens of fields of a row use it.
     """
-    first = F.substring(text, 1, 1)
-    container = first.isin("{", "[")
-    odd_number = (text.contains("E") & text.rlike(_EXPONENT_FORM)) | (
-        (F.length(text) >= 19) & text.rlike(_WIDE_INTEGER)
-    )
-    escaped = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
-    quoted = source.contains(F.concat(F.lit('"'), escaped, F.lit('"')))
-    return (
-        F.when(container, F.when(quoted, text))
-        .when(odd_number, F.when(quoted, text).otherwise(number_text(text)))
-        .otherwise(text)
-    )
+    return F.expr(_SCALAR_TEXT.format(text=text, source=source))
 
 
 def object_texts(source: Column, elements: Column, *paths: str) -> Column:

@@ -34,11 +34,13 @@ def instrument_columns(item: str, source: str) -> list[Column]:
     """The 19 instrument columns of a parsed object `item` read from the JSON text `source`."""
     columns = []
     for field in _PAYLOAD_FIELDS:
-        value = F.col(f"{item}.{field.name}")
+        path = f"{item}.{field.name}"
         if field.name == "instrument_name":
-            value = string_only(value)
+            value = string_only(F.col(path))
         elif field.dataType.simpleString() == "string":
-            value = scalar_text(value, F.col(source))
+            value = scalar_text(path, source)
+        else:
+            value = F.col(path)
         columns.append(value.alias(field.name))
     return columns
 
