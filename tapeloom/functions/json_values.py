@@ -67,7 +67,8 @@ def scalar_text(text: str, source: str) -> Column:
     """Text of a JSON scalar field; null for null, arrays and objects.
 
     `text` names a text field read by `from_json`, `source` the JSON document it was read from.
-    The rule is one SQL expression, because dozens of fields of a row use it.
+    The rule is one SQL expression, because dozens of fields of a row use it. A number is taken
+    for a string only if the same document also holds its Java exponent form as a string.
     """
     return F.expr(_SCALAR_TEXT.format(text=text, source=source))
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tapeloom import schemas
 from tapeloom.functions.json_values import parse_json_column
+from tapeloom.functions.text import base64_text, rfc3339_millis
 
 # One chunk of lines stays together when a wide file is spread over tasks.
 SPREAD_CHUNK_LINES = 50_000
@@ -114,7 +115,7 @@ def read_raw_lines(
     lines = _with_order(parts[0])
     for part in parts[1:]:
         lines = lines.unionByName(_with_order(part))
-    lines = lines.where(F.trim("value") != "")
+    lines = without_blank_lines(lines)
 
     total = sum(f.size for f in files)
     cores = spark.sparkContext.defaultParallelism
@@ -127,6 +128,10 @@ def read_raw_lines(
     return lines
 
 
+def without_blank_lines(lines: DataFrame) -> DataFrame:
+    return lines.where(F.trim("value") != "")
+
+
 def _with_order(text: DataFrame) -> DataFrame:
     return text.select(
         "value",
@@ -184,9 +189,10 @@ def read_raw_events(
 def read_landed_events(spark: SparkSession, root: str) -> DataFrame:
     """Events landed by `sinks.events`, with an order of receipt in `line_no`.
 
-    Rows of one file keep their row index; files follow by their first-seen order of receipt time.
+    The order is by time of receipt, then by file and by row within the file.
     """
-    events = spark.read.parquet(root)
+    stored = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.ENVELOPE)
+    events = spark.read.schema(f"{stored}, date date").parquet(root)
     order = F.struct(
         "received_mts",
         F.col("_metadata.file_path").alias("file_path"),
@@ -207,14 +213,14 @@ def build_envelopes(messages: DataFrame, received: Column | None = None) -> Data
     rest = [c for c in messages.columns if c not in {*schemas.ENVELOPE.names, "text", "binary"}]
     return messages.select(
         *rest,
-        F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("received_at"),
+        rfc3339_millis(instant).alias("received_at"),
         F.unix_millis(instant).alias("received_mts"),
         "exchange",
         "symbol",
         "channel",
         "connection_id",
         text.alias("payload_text"),
-        F.base64(binary).alias("payload_base64"),
+        base64_text(binary).alias("payload_base64"),
     )
 
 
