@@ -15,18 +15,24 @@ JSON_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 # integers that may not fit 64 bits.
 _RARE = r"^([\[{]|-?[0-9]\.[0-9]+E-?[0-9]+$|-?[0-9]{19,}$)"
 
-# Canonical text of a JSON number: integers of 64 bits as they are; reals, and wider integers, in
-# the shortest round-trip form, plain from 1e-5 up to 1e16 and with an exponent beyond.
-_NUMBER_TEXT = r"""
-CASE WHEN {text} RLIKE r'^-?[0-9]+$'
-          AND coalesce(try_cast({text} AS decimal(38,0))
-                       BETWEEN -9223372036854775808BD AND 18446744073709551615BD, false)
-     THEN {text}
-     WHEN instr(cast(cast({text} AS double) AS string), 'E') = 0
-     THEN cast(cast({text} AS double) AS string)
-     WHEN abs(cast({text} AS double)) >= 1e-5D AND abs(cast({text} AS double)) < 1e16D
-     THEN regexp_replace(cast(try_cast({text} AS decimal(38,21)) AS string), r'(\.[0-9]+?)0+$', '$1')
-     ELSE regexp_replace(cast(cast({text} AS double) AS string), r'(\.0)?E', 'e')
+# A JSON string whose content looks like one of those, for which the document must be consulted.
+_RARE_STRING = r"""r'"([\[{{]|-?[0-9]\.[0-9]+E-?[0-9]+"|-?[0-9]{{19,}}")'"""
+
+# Canonical text of a JSON number as `from_json` gives it: integers of 64 bits and short reals as
+# they are; reals with an exponent, and wider integers, in the shortest round-trip form, plain from
+# 1e-5 up to 1e16 and with an exponent beyond. The mantissa has one digit before the point, so the
+# exponent alone decides.
+_PLAIN = "rtrim('0', cast(try_cast({text} AS decimal(38,21)) AS string))"
+_NUMBER_TEXT = f"""
+CASE WHEN instr({{text}}, 'E') > 0 THEN
+       CASE WHEN cast(substring_index({{text}}, 'E', -1) AS int) BETWEEN -5 AND 15
+            THEN concat({_PLAIN}, if(endswith({_PLAIN}, '.'), '0', ''))
+            ELSE replace(replace({{text}}, '.0E', 'E'), 'E', 'e') END
+     WHEN {{text}} RLIKE r'^-?[0-9]{{{{19,}}}}$'
+          AND NOT coalesce(try_cast({{text}} AS decimal(38,0))
+                           BETWEEN -9223372036854775808BD AND 18446744073709551615BD, false)
+     THEN replace(replace(cast(cast({{text}} AS double) AS string), '.0E', 'E'), 'E', 'e')
+     ELSE {{text}}
 END"""
 
 _QUOTED = r"""contains({source}, concat('"', replace(replace({text}, r'\', r'\\'), '"', r'\"'), '"'))"""
@@ -66,13 +72,22 @@ def number_text(text: str) -> Column:
 def scalar_text(text: str, source: str) -> Column:
     """Text of a JSON scalar field; null for null, arrays and objects.
 
-    `text` names a text field read by `from_json`, `source` the JSON document it was read from.
-    The rule is one SQL expression, because dozens of fields of a row use it. A number is taken
+    `text` names a text field read by `from_json`, `source` the JSON document it was read from,
+    or its `scalar_source`. The rule is one SQL expression, because dozens of fields of a row use it. A number is taken
     for a string only if the same document also holds its Java exponent form as a string.
     """
     return F.expr(_SCALAR_TEXT.format(text=text, source=source))
 
 
+def scalar_source(document: str) -> Column:
+    """The document for `scalar_text`, or null when none of its strings needs it.
+
+    One look per document; rows made from its elements then carry no copy of it.
+    """
+    rare = _RARE_STRING.format()
+    return F.expr(f"CASE WHEN {document} RLIKE {rare} THEN {document} END")
+
+
 def object_texts(source: Column, elements: Column, *paths: str) -> Column:
     """Array elements that are JSON objects, as texts.
 
