@@ -9,9 +9,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tapeloom.sources.raw_capture import SPREAD_TASK_BYTES, stored_bytes
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table, spread over the cores when it is too small to be split by the scan.
+
+    Parsing is the costly step, and a file with one row group would be parsed by one task. A
+    table large enough to give every core a split is read as it is, without a shuffle.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if 64 * 1024 < stored_bytes(spark, path) < cores * SPREAD_TASK_BYTES:
+        df = df.repartition(cores)
+    return df
 
 
 def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:

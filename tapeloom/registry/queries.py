@@ -14,7 +14,7 @@ from tapeloom.plans.capture import capture, route_messages
 from tapeloom.plans.history_load import load_history, page_trades
 from tapeloom.registry import analogues
 from tapeloom.registry.analogues import events_table, table
-from tapeloom.session import scratch_dir
+from tapeloom.session import materialize, scratch_dir
 from tapeloom.sinks import datasets, events as event_sink, history
 from tapeloom.sources import feeds, listing, raw_capture, trade_pages
 from tapeloom.streaming import jobs
@@ -52,6 +52,11 @@ def _terms(spark: SparkSession, sf_dir: str, keep=("date",)) -> DataFrame:
     return instruments.latest_instruments(instruments.all_instruments(listed, created), keep=keep)
 
 
+def _stored_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms stored before facts are joined, so their size is known and they are computed once."""
+    return materialize(spark, _terms(spark, sf_dir, keep=()), "terms")
+
+
 # Captures --------------------------------------------------------------------------------------
 
 
@@ -296,20 +301,20 @@ def explode_trade_messages(spark, sf_dir):
 @registered
 def trades_enriched(spark, sf_dir):
     rows = facts.trade_rows(analogues.trade_events(spark, sf_dir))
-    return in_schema_order(attach_terms(rows, _terms(spark, sf_dir, keep=())), schemas.DERIVATIVES_TRADES)
+    return in_schema_order(attach_terms(rows, _stored_terms(spark, sf_dir)), schemas.DERIVATIVES_TRADES)
 
 
 @registered
 def trades_enriched_salted(spark, sf_dir):
     rows = facts.trade_rows(analogues.trade_events(spark, sf_dir), keep=["line_no"])
-    joined = attach_terms(rows, _terms(spark, sf_dir, keep=()), strategy="salted", salt_by=["line_no", "received_mts"])
+    joined = attach_terms(rows, _stored_terms(spark, sf_dir), strategy="salted", salt_by=["line_no", "received_mts"])
     return joined.select("line_no", "instrument_name", "price", "kind", "strike", "option_type")
 
 
 @registered
 def ticker_enriched(spark, sf_dir):
     rows = facts.ticker_rows(analogues.ticker_events(spark, sf_dir))
-    return in_schema_order(attach_terms(rows, _terms(spark, sf_dir, keep=())), schemas.INCREMENTAL_TICKER)
+    return in_schema_order(attach_terms(rows, _stored_terms(spark, sf_dir)), schemas.INCREMENTAL_TICKER)
 
 
 @registered
@@ -338,7 +343,7 @@ def normalize_counts(spark, sf_dir):
 @registered
 def required_columns_hold(spark, sf_dir):
     rows = facts.trade_rows(analogues.trade_events(spark, sf_dir))
-    stored = in_schema_order(attach_terms(rows, _terms(spark, sf_dir, keep=())), schemas.DERIVATIVES_TRADES)
+    stored = in_schema_order(attach_terms(rows, _stored_terms(spark, sf_dir)), schemas.DERIVATIVES_TRADES)
     return quality.null_counts(quality.check_required(stored, schemas.DERIVATIVES_TRADES), schemas.DERIVATIVES_TRADES)
 
 
@@ -538,9 +543,7 @@ def stream_first_seen(spark, sf_dir):
 def stream_normalize(spark, sf_dir):
     path, checkpoint = scratch_dir(spark, "rows"), scratch_dir(spark, "rows-state")
     events = analogues.ticker_events(spark, sf_dir, _event_stream(spark, sf_dir))
-    root = scratch_dir(spark, "terms")
-    _terms(spark, sf_dir, keep=()).write.parquet(root)
-    terms = spark.read.schema(schemas.INSTRUMENTS).parquet(root)
+    terms = _stored_terms(spark, sf_dir)
     _run(jobs.normalize_stream(events, terms, "incremental_ticker", path, checkpoint, available_now=True))
     stored = spark.read.schema(schemas.INCREMENTAL_TICKER).parquet(path)
     return in_schema_order(stored, schemas.INCREMENTAL_TICKER)

@@ -80,6 +80,13 @@ def _directory_files(spark: SparkSession, directory: str) -> list[tuple[str, int
     return [(s.getPath().getName(), s.getLen()) for s in system.listStatus(path) if s.isFile()]
 
 
+def stored_bytes(spark: SparkSession, location: str) -> int:
+    """Bytes below a path, from the file system's own summary."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    return path.getFileSystem(conf).getContentSummary(path).getLength()
+
+
 def require_files(files: Sequence[RawFile], dates: Iterable[dt.date], root: str) -> None:
     """A day without any of its files is an error; a day with some reads the others as empty."""
     missing = sorted(set(dates) - {file.date for file in files})
