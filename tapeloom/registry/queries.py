@@ -240,7 +240,7 @@ def daily_parquet_roundtrip(spark, sf_dir):
 @registered
 def resumed_history(spark, sf_dir):
     root = scratch_dir(spark, "resumed")
-    pages = _one_symbol_pages(spark, sf_dir).cache()
+    pages = _one_symbol_pages(spark, sf_dir)
     load_history(spark, pages, root, start=1_704_000_000_000, end=1_705_000_000_000)
     load_history(spark, pages, root)
     return history.read_history(spark, root, schemas.HISTORY_DEFAULT_SYMBOL).select("id", "mts", "side", "price")

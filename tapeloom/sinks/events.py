@@ -48,10 +48,8 @@ def append_event_stream(
 
 
 def append_by_channel(events: DataFrame, roots: dict[str, str]) -> None:
-    """Write each channel below a root of its own; channels without a root are an error.
-
-    The events are scanned once per root, so give stored events.
-    """
+    """Write each channel below a root of its own. Channels without a root are not written;
+    `lost_channels` tells which. The events are scanned once per root, so give stored events."""
     for channel, root in roots.items():
         append_events(events.where(F.col("channel") == channel), root)
 

@@ -33,9 +33,15 @@ def page_rows(pages: DataFrame, page: str = "page") -> DataFrame:
     """
     text = F.col(page)
     whole = F.from_json(text, "array<array<string>>", JSON_OPTIONS)
+    # Row by row, with the JSON type of each row, so that a text is not taken for an array.
+    texts = F.from_json(text, "array<string>", JSON_OPTIONS)
+    types = F.try_variant_get(F.try_parse_json(text), "$", "array<variant>")
     by_row = F.transform(
-        F.from_json(text, "array<string>", JSON_OPTIONS),
-        lambda row: F.from_json(row, "array<string>", JSON_OPTIONS),
+        F.arrays_zip(texts.alias("text"), types.alias("type")),
+        lambda row: F.when(
+            F.schema_of_variant(row["type"]).startswith("ARRAY"),
+            F.from_json(row["text"], "array<string>", JSON_OPTIONS),
+        ),
     )
     unreadable = F.array(F.lit(None).cast("array<string>"))
     # An empty page stays an empty array and yields no row below.
