@@ -23,10 +23,15 @@ def route_messages(messages: DataFrame, received: Column | None = None) -> DataF
 
 
 def capture(
-    messages: DataFrame, root: str, received: Column | None = None, max_messages: int | None = None,
+    messages: DataFrame,
+    root: str,
+    received: Column | None = None,
+    max_messages: int | None = None,
     order: tuple[str, ...] = (),
+    gather: bool = False,
 ) -> None:
-    """Route and append. `max_messages` keeps the first messages of each feed in `order`."""
+    """Route and append. `max_messages` keeps the first messages of each feed in `order`;
+    `gather` as in `append_events`."""
     if max_messages is not None:
         messages = first_rows_per_group(messages, ["exchange", "symbol", "channel"], list(order), max_messages)
-    append_events(route_messages(messages, received), root)
+    append_events(route_messages(messages, received), root, gather)

@@ -7,9 +7,14 @@ made from one row, so deriving them needs no shuffle and no group is ever gather
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tapeloom.sources.raw_capture import SPREAD_TASK_BYTES, stored_bytes
+from tapeloom.sources.raw_capture import stored_bytes
+
+# A table with less than this per core is spread by a shuffle of its few bytes.
+SMALL_BYTES_PER_CORE = 64 * 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,12 +23,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     Parsing is the costly step, and a file with one row group would be parsed by one task. A
     table large enough to give every core a split is read as it is, without a shuffle.
     """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
+    return spread_small(spark.read.parquet(_path(sf_dir, name)), sf_dir, name)
+
+
+def _path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
+def spread_small(df: DataFrame, sf_dir: str, name: str) -> DataFrame:
+    spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if 64 * 1024 < stored_bytes(spark, path) < cores * SPREAD_TASK_BYTES:
-        df = df.repartition(cores)
-    return df
+    small = 64 * 1024 < stored_bytes(spark, _path(sf_dir, name)) < cores * SMALL_BYTES_PER_CORE
+    return df.repartition(cores) if small else df
 
 
 def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,8 +82,12 @@ def as_events(df: DataFrame, payload: str, channel: str, order: str, mts: str, d
     )
 
 
+DAYS = (dt.date(2026, 6, 29), dt.date(2026, 6, 30))
+
+
 def two_days(condition: str) -> str:
-    return f"if({condition}, DATE'2026-06-29', DATE'2026-06-30')"
+    """The receipt day of a message, one of two."""
+    return f"if({condition}, DATE'{DAYS[0]}', DATE'{DAYS[1]}')"
 
 
 # Ticker messages -------------------------------------------------------------------------------

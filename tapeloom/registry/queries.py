@@ -102,7 +102,7 @@ def route_channels(spark, sf_dir):
 @registered
 def captured_channel_counts(spark, sf_dir):
     root = scratch_dir(spark, "captured")
-    capture(_replayed(events_table(spark, sf_dir)), root, F.col("ts"))
+    capture(_replayed(events_table(spark, sf_dir)), root, F.col("ts"), gather=True)
     stored = raw_capture.read_landed_events(spark, root)
     return (
         event_sink.with_receipt_day(stored)
@@ -321,7 +321,7 @@ def ticker_enriched(spark, sf_dir):
 def normalize_counts(spark, sf_dir):
     root = scratch_dir(spark, "normalized")
     terms = _terms(spark, sf_dir)
-    days = [row["date"] for row in terms.select("date").distinct().collect()]
+    days = list(analogues.DAYS)
     datasets.write_dataset(instruments.sorted_instruments(terms, ["date"]), root, "instruments", days)
     stored = datasets.read_dataset(spark, root, "instruments", days)
     keys = ("date", "instrument_name")
@@ -470,7 +470,7 @@ def recent_files(spark, sf_dir):
 def newest_file_per_exchange(spark, sf_dir):
     root = scratch_dir(spark, "inspected")
     messages = _replayed(events_table(spark, sf_dir))
-    capture(messages, root, F.col("ts"))
+    capture(messages, root, F.col("ts"), gather=True)
     files = listing.capture_files(spark, root, "*.parquet")
     return inspection.newest_per_exchange(files).select("exchange", "symbol", "channel")
 
@@ -514,7 +514,7 @@ def exchange_filter(spark, sf_dir):
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
     source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return analogues.with_millis(source)
+    return analogues.with_millis(analogues.spread_small(source, sf_dir, "events"))
 
 
 def _run(query) -> None:

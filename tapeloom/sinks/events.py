@@ -24,11 +24,18 @@ def _columns(events: DataFrame) -> DataFrame:
     return with_receipt_day(events).select(*schemas.ENVELOPE.names, "date")
 
 
-def append_events(events: DataFrame, root: str) -> None:
-    """Append envelopes; existing files of a day stay. No shuffle: each task writes its own files."""
-    _columns(events).write.mode("append").options(**schemas.PARQUET_OPTIONS).partitionBy(
-        *EVENT_PARTITIONS
-    ).parquet(root)
+def append_events(events: DataFrame, root: str, gather: bool = False) -> None:
+    """Append envelopes; existing files of a day stay.
+
+    By default nothing is shuffled and each task writes its own files, which suits input that
+    arrives in time order. `gather` brings the rows of a directory together first, for input that
+    mixes many days: small directories share a task, and one that holds most rows is split over
+    several.
+    """
+    rows = _columns(events)
+    if gather:
+        rows = rows.hint("rebalance", *EVENT_PARTITIONS)
+    rows.write.mode("append").options(**schemas.PARQUET_OPTIONS).partitionBy(*EVENT_PARTITIONS).parquet(root)
 
 
 def append_event_stream(

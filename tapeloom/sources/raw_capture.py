@@ -16,9 +16,12 @@ from tapeloom import schemas
 from tapeloom.functions.json_values import parse_json_column
 from tapeloom.functions.text import base64_text, rfc3339_millis
 
-# One chunk of lines stays together when a wide file is spread over tasks.
-SPREAD_CHUNK_LINES = 50_000
-SPREAD_TASK_BYTES = 64 * 1024 * 1024
+# One chunk of lines stays together when a wide file is spread over tasks. Captures compress about
+# tenfold, so a task of this many compressed bytes parses a usual split's worth of JSON; below the
+# smaller bound a shuffle costs more than it saves.
+SPREAD_CHUNK_LINES = 5_000
+SPREAD_TASK_BYTES = 16 * 1024 * 1024
+SPREAD_FROM_BYTES = 4 * 1024 * 1024
 
 LINE_COLUMNS = "value string, line_no bigint, file_path string, date date"
 
@@ -127,7 +130,7 @@ def read_raw_lines(
     total = sum(f.size for f in files)
     cores = spark.sparkContext.defaultParallelism
     if spread is None:
-        spread = len(files) < cores and total > 2 * SPREAD_TASK_BYTES
+        spread = len(files) < cores and total > SPREAD_FROM_BYTES
     if spread:
         tasks = max(cores, -(-total // SPREAD_TASK_BYTES))
         chunk = F.floor(F.col("line_no") / SPREAD_CHUNK_LINES)
