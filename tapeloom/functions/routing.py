@@ -27,19 +27,27 @@ def route_subscription(channel: Column) -> Column:
     return routed
 
 
+def _with_value(value: Column, rule) -> Column:
+    """`rule` applied to a value it names several times; the value itself is computed once."""
+    return F.get(F.transform(F.array(value), rule), F.lit(0))
+
+
 def derivatives_output_channel(payload: Column) -> Column:
     """Stored channel of a derivatives message; text that is not JSON goes to control."""
     message = F.from_json(payload, "params struct<channel: variant>", JSON_OPTIONS)
-    return route_subscription(string_only(message["params"]["channel"]))
+    return _with_value(message["params"]["channel"], lambda c: route_subscription(string_only(c)))
 
 
 def spot_output_channel(payload: Column) -> Column:
     """Stored channel of a spot-venue message, by its channel tag."""
-    tag = string_only(F.from_json(payload, "channel variant", JSON_OPTIONS)["channel"])
-    routed = F.lit(CONTROL)
-    for name, stored in SPOT_ROUTES.items():
-        routed = F.when(tag == name, stored).otherwise(routed)
-    return routed
+
+    def route(tag: Column) -> Column:
+        routed = F.lit(CONTROL)
+        for name, stored in SPOT_ROUTES.items():
+            routed = F.when(string_only(tag) == name, stored).otherwise(routed)
+        return routed
+
+    return _with_value(F.from_json(payload, "channel variant", JSON_OPTIONS)["channel"], route)
 
 
 def output_channel(exchange: Column, feed_channel: Column, payload: Column) -> Column:

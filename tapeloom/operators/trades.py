@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tapeloom import schemas
 from tapeloom.functions.text import decimal_text, mts_to_timestamp, rfc3339_millis, trade_side, utc_date
@@ -132,8 +132,7 @@ def last_trades_by_day(trades: DataFrame) -> DataFrame:
 
 def last_trades_of_completed_days(trades: DataFrame) -> DataFrame:
     """The same without each symbol's newest day, which may still grow."""
+    newest = F.max("date").over(Window.partitionBy("symbol"))
     days = last_trades_by_day(trades)
-    newest = days.groupBy(F.col("symbol").alias("newest_symbol")).agg(F.max("date").alias("newest"))
-    return days.join(
-        newest, (F.col("symbol") == F.col("newest_symbol")) & (F.col("date") < F.col("newest"))
-    ).select(*days.columns)
+    # One row per symbol and day is left by now, so the window holds calendar days only.
+    return days.withColumn("newest", newest).where(F.col("date") < F.col("newest")).drop("newest")

@@ -208,7 +208,7 @@ def last_trade_per_completed_day(spark, sf_dir):
 
 @registered
 def resume_filter(spark, sf_dir):
-    history_trades = _page_trades(spark, sf_dir).select("symbol", "id", "mts")
+    history_trades = materialize(spark, _page_trades(spark, sf_dir).select("symbol", "id", "mts"), "trades")
     done = trades.last_trades_of_completed_days(history_trades).groupBy("symbol").agg(
         F.max("last_trade_mts").alias("last_mts"), F.count(F.lit(1)).alias("days")
     )
