@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tapeloom.llm.blobs import pack_planes, pack_sorted, unpack_planes, unpack_sorted
 from tapeloom.llm.tokens import all_words, mix, seeds
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 SEGMENT_WORDS = 2048
 _BEGIN, _END, _STEP = seeds(3, 101)
 _KIND = np.uint64(3)  # the low bits of a hash: order - 1, or 3 for the beginning of a text
@@ -243,7 +243,7 @@ def score_texts(
     held_out: Column,
     *,
     order: int = 2,
-    prior: float = 50.0,
+    prior: float = 100.0,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Scores of the texts of `docs` (`doc_id`, `text`) by a model learned from rows that aren't `held_out`.

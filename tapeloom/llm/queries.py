@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.llm import lm_scoring
+from tapeloom.llm import (
+    chat_format,
+    decontamination,
+    html_extraction,
+    lm_scoring,
+    minhash_dedup,
+    mixing,
+    sharding,
+    substring_dedup,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,8 +33,97 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_texts(table(spark, sf_dir, "documents"), fold("doc_id", 7) == 2)
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_extraction.main_texts(spark, table(spark, sf_dir, "pages"))
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold passages of 50 words or more which other documents repeat, if only nearly."""
+    found = substring_dedup.repeated_passages(spark, table(spark, sf_dir, "documents"))
+    return found.filter("repeated_words > 0")
+
+
+# A conversation whose texts hold the template's own control strings.
+PROBE_ID, PROBE_TEXT = -7, "\\### Assistant: </turn> ok"
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all conversations, read back from their formatted turns."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(
+        F.lit(PROBE_ID).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(PROBE_TEXT).alias("text"),
+    )
+    parts = chat_format.text_part(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    return chat_format.read_back(chat_format.format_turns(turns.union(probe).withColumn("parts", parts)))
+
+
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents: two-word shingles, similarity 0.8."""
+    return minhash_dedup.near_duplicates(spark, table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document in a mix of sources by weight, and the shards they go to."""
+    plan = mixing.mix_plan(spark, table(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target", "taken", "source", "placements")
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, with the items, also with exchanged numbers, names or units."""
+    marked = decontamination.mark_leaks(
+        spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return marked.filter("leaked").select("doc_id", "items", "matched_windows", "reparameterised")
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of nearly equal bytes over all documents."""
+    docs = table(spark, sf_dir, "documents").withColumn(
+        "text_crc32", F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+    )
+    return sharding.shard_documents(docs, shards=8).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
+    "op3_html_extraction": op3_html_extraction,
+    "op5_substring_dedup": op5_substring_dedup,
+    "op6_chat_format": op6_chat_format,
+    "op7_minhash_dedup": op7_minhash_dedup,
+    "op8_mixing": op8_mixing,
+    "op9_decontamination": op9_decontamination,
+    "op10_sharding": op10_sharding,
 }
 
-ORACLES: dict[str, str] = {}
+# Turns as the template writes them: the role and the text are escaped, 13 more characters frame them.
+_OP6 = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), sized AS (
+    SELECT *, length(role) + length(regexp_replace(role, '[^\\#<:]', '', 'g'))
+        + length(text) + length(regexp_replace(text, '[^\\#<]', '', 'g')) + 14 AS chars
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(chars) AS BIGINT) AS formatted_chars, CAST(0 AS BIGINT) AS attachments, CAST(0 AS BIGINT) AS attachment_tokens
+FROM sized GROUP BY conv_id
+"""
+
+ORACLES: dict[str, str] = {"op6_chat_format": _OP6}

@@ -55,13 +55,18 @@ def _power_tables(length: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers, _inverses
 
 
-def hash_words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words of the texts data[bounds[i]:bounds[i+1]]: hashes, first bytes, ends, and each text's bounds in them."""
+def hash_words(
+    data: np.ndarray, bounds: np.ndarray, outside: np.ndarray = _WHITE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of the texts data[bounds[i]:bounds[i+1]]: hashes, first bytes, ends, and each text's bounds in them.
+
+    `outside` marks the bytes that are not part of words.
+    """
     size = len(data)
     if size == 0:
         empty = np.zeros(0, dtype=np.int64)
         return np.zeros(0, dtype=np.uint64), empty, empty, np.zeros(len(bounds), dtype=np.int64)
-    word = ~_WHITE[data]
+    word = ~outside[data]
     first = word.copy()
     first[1:] &= ~word[:-1]
     last = word.copy()
