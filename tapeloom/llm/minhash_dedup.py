@@ -5,15 +5,19 @@
 2. A class gets `HASHES` minima. Each run of `ROWS` minima, whole, is a band key; of each minimum the low
    `BITS` bits are kept and packed by bit position, so that positions that agree are counted with two
    XORs, ORs and a bit count.
-3. In a band bucket every class is paired with the bucket's smallest class, not with every other one. A
-   pair whose signature agrees on too few positions is dropped: two random low parts agree in 2^-BITS
-   of the positions, hence share = (agreeing / HASHES - c) / (1 - c), c = 2^-BITS. The limit lies so
-   low that a pair at the threshold falls below it once in ten million.
-4. The remaining pairs are confirmed exactly: the sets of both classes are built again from the texts.
-5. A bucket whose classes are not yet one component may hide links between classes other than its
-   smallest. There, the classes outside the bucket's largest component are compared with all others of
-   other components, by signature inside the join, and the survivors are confirmed too. Pairs within
-   one component need no comparison: the component does not change.
+3. In a band bucket every class is paired with one center, not with every other class: with the class
+   that has the most company over all its buckets, usually the text the others were made from. A pair
+   whose signature agrees on too few positions is dropped: two random low parts agree in c = 2^-BITS
+   of the positions, hence similarity = (agreeing / HASHES - c) / (1 - c). The limit lies so low that a
+   pair at the threshold falls below it once in ten million.
+4. A parity sketch refutes more pairs for certain: bit g of a set tells whether an odd number of its shingles
+   hash to g, so two sketches differ in no more bits than the sets have elements of their own, and
+   the threshold bounds these.
+5. The remaining pairs are confirmed exactly: the sets of both classes are built again from the texts.
+6. A bucket whose classes are not yet one component may hide links between classes other than its
+   center. There, the classes outside the bucket's largest component are compared with all others of
+   other components, by signature and sketch inside the join, and the survivors are confirmed too. Pairs
+   within one component need no comparison: the component does not change.
 
 With 32 bands of 4, a pair of similarity 0.8 shares no bucket with probability 5e-8.
 
@@ -32,6 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeloom.llm.components import connected
+from tapeloom.llm.mixing import small
 from tapeloom.llm.tokens import mix, seeds, signed, word_pieces
 from tapeloom.session import materialize
 
@@ -81,16 +86,29 @@ def _minima(sets: list[np.ndarray]) -> np.ndarray:
     return mix(minima)
 
 
+def row_key() -> Column:
+    """Names a row by its id and text; rows that repeat both share it."""
+    return F.xxhash64(F.col("doc_id").cast("string"), F.col("text").cast("string"))
+
+
+def parity_sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parities of the set in a power of two of bits, at least twice its size, as words."""
+    bits = max(512, 1 << int(2 * len(shingles) - 1).bit_length() if len(shingles) else 0)
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _signatures(size: int):
     def sign(batches):
         for batch in batches:
-            counts, keys, bands, planes = [], [], [], []
+            counts, keys, bands, planes, sketches = [], [], [], [], []
             with np.errstate(over="ignore"):
                 for _, words, bounds in word_pieces(batch.column("text")):
                     sets = text_sets(words, bounds, size)
                     minima = _minima(sets)
                     counts += [len(s) for s in sets]
                     keys += [set_key(s) for s in sets]
+                    sketches += [parity_sketch(s) for s in sets]
                     band = np.broadcast_to(_BAND, (len(sets), BANDS)).copy()
                     for j in range(ROWS):
                         band = mix(band * _STEP + minima[:, j::ROWS])
@@ -103,9 +121,13 @@ def _signatures(size: int):
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),
+                    "row": batch.column("row"),
                     "n_shingles": pa.array(counts, pa.int64()),
                     "class": pa.array(signed(np.array(keys, dtype=np.uint64)), pa.int64()),
-                    "bands": pa.FixedSizeListArray.from_arrays(signed(bands.reshape(-1)), BANDS).cast(pa.list_(pa.int64())),
+                    "bands": pa.ListArray.from_arrays(
+                        pa.array(np.arange(len(bands) + 1, dtype=np.int32) * BANDS), pa.array(signed(bands.reshape(-1)))
+                    ),
+                    "parity": pa.array(sketches, pa.list_(pa.int64())),
                     **{f"plane{p}": signed(np.ascontiguousarray(planes[:, p])) for p in range(_PLANES)},
                 }
             )
@@ -138,14 +160,35 @@ def agreeing(left: str, right: str) -> Column:
     return F.lit(HASHES) - sum(different[1:], different[0])
 
 
-def _alike(left: str, right: str, percent: int) -> Column:
-    """Whether sizes and signatures leave the threshold possible."""
-    a, b = F.col(f"{left}.n_shingles"), F.col(f"{right}.n_shingles")
+def differing(left: str, right: str) -> Column:
+    """Bits in which two parity sketches differ; the longer one is folded to the length of the other."""
+    a, b = F.col(f"{left}.parity"), F.col(f"{right}.parity")
+
+    def fold(long: Column, short: Column) -> Column:
+        n = F.size(short)
+        return F.zip_with(F.slice(long, F.lit(1), n), F.slice(long, n + 1, n), lambda x, y: x.bitwiseXOR(y))
+
+    def count(x: Column, y: Column) -> Column:
+        return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda n, d: n + d)
+
     return (
-        (a * 100 >= b * percent) & (b * 100 >= a * percent) & (agreeing(left, right) >= least_agreeing(percent))
+        F.when(F.size(a) == F.size(b), count(a, b))
+        .when(F.size(a) == 2 * F.size(b), count(fold(a, b), b))
+        .when(F.size(b) == 2 * F.size(a), count(a, fold(b, a)))
+        .otherwise(F.lit(0))
     )
 
 
+def _alike(left: str, right: str, percent: int) -> Column:
+    """Whether sizes, signatures and sketches leave the threshold possible.
+
+    Similarity p / 100 or more means that at most (100 - p) / (100 + p) of both sizes together is in one set only.
+    """
+    a, b = F.col(f"{left}.n_shingles"), F.col(f"{right}.n_shingles")
+    near = (a * 100 >= b * percent) & (b * 100 >= a * percent) & (agreeing(left, right) >= least_agreeing(percent))
+    return F.when(near, differing(left, right) * (100 + percent) <= (a + b) * (100 - percent)).otherwise(False)
+
+
 def _build_sets(size: int):
     def build(batches):
         for batch in batches:
@@ -201,16 +244,19 @@ def _confirmed(spark, docs, classes, pairs, size, percent) -> DataFrame:
 def near_duplicates(
     spark: SparkSession, docs: DataFrame, *, shingle_words: int = 5, percent: int = 80
 ) -> DataFrame:
-    """`doc_id`, `n_shingles`, `component_id`, `kept` for each row of `docs` (`doc_id`, `text`).
+    """`doc_id`, `n_shingles`, `component_id`, `kept`, `row` for each row of `docs` (`doc_id`, `text`).
 
     Texts are linked when 100 * intersection >= percent * union of their sets of `shingle_words`-word
     shingles; a component is what links connect, `kept` marks its row of the smallest id.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), row_key().alias("row")
+    )
     planes = [f"plane{p}" for p in range(_PLANES)]
+    described_by = ["n_shingles", "parity", *planes]
     signed_rows = docs.mapInArrow(
         _signatures(shingle_words),
-        "doc_id bigint, n_shingles bigint, class bigint, bands array<bigint>, "
+        "doc_id bigint, row bigint, n_shingles bigint, class bigint, bands array<bigint>, parity array<bigint>, "
         + ", ".join(f"{p} bigint" for p in planes),
     )
     rows = materialize(spark, signed_rows, "signatures")
@@ -219,19 +265,23 @@ def near_duplicates(
         spark,
         present.groupBy("class").agg(
             F.min("doc_id").alias("doc_id"),
-            *[F.first(c).alias(c) for c in ("n_shingles", "bands", *planes)],
+            *[F.first(c).alias(c) for c in ("bands", *described_by)],
         ),
         "classes",
     )
     banded = classes.select("class", F.explode("bands").alias("band"))
-    heads = banded.groupBy("band").agg(F.min("class").alias("head"), F.count("*").alias("size")).filter("size > 1")
-    heads = materialize(spark, heads, "buckets")
-    shared = materialize(spark, banded.join(heads, "band"), "bucketed")
-
-    described = classes.select("class", "n_shingles", *planes)
+    sizes = banded.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
+    crowded = materialize(spark, banded.join(sizes, "band"), "crowded")
+    company = crowded.groupBy("class").agg(F.sum("size").alias("company"))
+    weighed = crowded.join(company, "class")
+    heads = weighed.groupBy("band").agg(F.max(F.struct("company", "class")).alias("most"))
+    heads = heads.select("band", F.col("most.class").alias("head"))
+    shared = materialize(spark, crowded.join(heads, "band"), "bucketed")
+
+    described = classes.select("class", *described_by)
     pairs = (
         shared.filter(F.col("class") != F.col("head"))
-        .select(F.col("head").alias("left"), F.col("class").alias("right"))
+        .select(F.least("head", "class").alias("left"), F.greatest("head", "class").alias("right"))
         .distinct()
         .alias("p")
         .join(described.alias("a"), F.col("p.left") == F.col("a.class"))
@@ -291,6 +341,35 @@ def near_duplicates(
             .when(F.col("n_shingles") == 0, F.col("doc_id"))
             .otherwise(F.coalesce("component_id", "smallest"))
             .alias("component_id"),
+            "row",
+        )
+        .select(
+            "doc_id",
+            "n_shingles",
+            "component_id",
+            F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"),
+            "row",
         )
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+
+
+def drop_near_duplicates(
+    spark: SparkSession, docs: DataFrame, *, shingle_words: int = 5, percent: int = 80
+) -> DataFrame:
+    """`docs`, of each component only the row of the smallest id; of repeated rows one stays.
+
+    Only the keys of rows that go are joined, so the texts move only if these are many.
+    """
+    judged = near_duplicates(spark, docs, shingle_words=shingle_words, percent=percent)
+    judged = materialize(spark, judged, "judged")
+    going = judged.filter("not kept").select("row").distinct()
+    repeated = (
+        judged.filter("kept and doc_id is not null and n_shingles > 0").groupBy("row").count().filter("count > 1").select("row")
+    )
+    keyed = docs.withColumn("dup_row", row_key())
+    same = lambda other: F.col("dup_row") == other["row"]
+    staying = keyed.join(small(going), same(going), "left_anti")
+    if repeated.limit(1).count():
+        twice = staying.join(small(repeated), same(repeated), "left_semi").dropDuplicates(["dup_row"])
+        staying = staying.join(small(repeated), same(repeated), "left_anti").union(twice)
+    return staying.select(*docs.columns)
