@@ -1,15 +1,61 @@
-"""Corpus pipeline over `documents`: each stage reads what the one before it kept."""
+"""Corpus pipeline over `documents`: each stage reads what the one before it kept.
+
+toxicity (documents the model rejects go), near_duplicates (one document of each group stays), decontamination
+(documents that hold benchmark items go), mixing (copies by source weight), sharding (shards of equal bytes).
+All stages but the last return the columns of `documents`. No stage can be written as SQL but in parts.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tapeloom.llm import decontamination, minhash_dedup, mixing, sharding, toxicity
 from tapeloom.session import scratch_dir
 
-STAGES: list = []
 ORACLE_SQL = None
 
 
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model, learned from `labels`, does not predict to be toxic."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.learn(spark, docs, labels)
+    return toxicity.score_texts(docs, model).filter("predicted = 0").select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
+    return minhash_dedup.drop_near_duplicates(spark, docs, shingle_words=5, percent=80)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item, re-parameterised ones included."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.mark_leaks(spark, docs, benchmark).filter("not leaked").select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The copies that the mix takes; the copy that fills a source's target is cut to the words left."""
+    copies = mixing.mixed_documents(mixing.mix_plan(spark, docs))
+    if "n_chars" in docs.columns:
+        copies = copies.withColumn("n_chars", F.when(F.col("words") < F.col("size"), F.char_length("text")).otherwise(F.col("n_chars")))
+    return copies.select(*docs.columns)
+
+
+def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their shard of 8 and their place in it."""
+    return sharding.shard_documents(docs, shards=8)
+
+
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("near_duplicates", one_of_each_group),
+    ("decontamination", without_benchmark),
+    ("mixing", mixed),
+    ("sharding", sharded),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, one after the other; each result is stored before the next stage reads it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -14,7 +14,8 @@ before the join; it loses none and only saves work. The benchmark's windows are
 joined by a shuffle beyond.
 
 Null and empty texts hold no windows: never leaked. Items with a null id or text are skipped. Null ids and
-repeated rows are judged each by its text. Other columns are kept. Empty tables give empty results.
+repeated rows are judged each by its text. Other columns are kept, but for those named as the columns that
+are added, which are replaced. No benchmark: nothing is leaked. No documents: empty result.
 """
 
 from __future__ import annotations
@@ -214,7 +215,8 @@ def mark_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Da
     """`docs` (`doc_id`, `text`, others) with `leaked`, `items`, `matched_windows`, `reparameterised`."""
     found = materialize(spark, leaks(spark, docs, benchmark), "leaks")
     return (
-        docs.withColumn("dec_row", row_key())
+        docs.drop("leaked", "items", "matched_windows", "reparameterised")
+        .withColumn("dec_row", row_key())
         .join(small(found), "dec_row", "left")
         .withColumns(
             {

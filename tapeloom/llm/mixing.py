@@ -18,7 +18,8 @@ words that are left. All draws are hashes of the seed: reruns agree.
 
 Null texts have size 0; documents of size 0 are never taken (`taken` 0, no placements). Null sources are
 one source, last in the order. Null ids and repeated rows are rows like any other; identical rows may get
-different shares. Columns beginning with `mix_` are reserved, others are kept. Empty table: empty result.
+different shares. Other columns are kept, but for those beginning with `mix_` and those named as the columns
+that are added, which are replaced. Empty table: empty result.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from tapeloom.session import materialize
 
 WEIGHTS = (5.0, 2.0, 1.0)
 BROADCAST_ROWS = 100_000
+ADDED = ("size", "source_size", "target", "taken", "placements")
 SPREAD = 12  # standard deviations of a draw that are looked at: what lies beyond has probability 1e-30
 
 
@@ -136,7 +138,7 @@ def mix_plan(
 
     `buckets` is the number of hash buckets of a source: at most some millions of rows should fall in one.
     """
-    sized = docs.withColumns(
+    sized = docs.drop(*ADDED).withColumns(
         {
             "size": word_count(F.col("text")),
             "mix_order": F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), F.col("text").cast("string")),
@@ -194,7 +196,7 @@ def first_words(text: Column, words: Column) -> Column:
 def mixed_documents(plan: DataFrame) -> DataFrame:
     """A row for each copy that `plan` takes, its text cut to the words taken, with `copy`, `words`, `shard`."""
     copies = plan.withColumn("mix_copy", F.explode("placements")).select(
-        *[c for c in plan.columns if c not in ("placements", "taken")], "mix_copy.*"
+        *plan.drop("placements", "taken", "copy", "words", "shard").columns, "mix_copy.*"
     )
     cut = F.when(F.col("words") < F.col("size"), first_words(F.col("text"), F.col("words"))).otherwise(F.col("text"))
     return copies.withColumn("text", cut)

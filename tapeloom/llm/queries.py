@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeloom.llm import (
+    ann,
     chat_format,
     decontamination,
     html_extraction,
@@ -16,6 +17,7 @@ from tapeloom.llm import (
     mixing,
     sharding,
     substring_dedup,
+    toxicity,
 )
 
 
@@ -33,11 +35,24 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_texts(table(spark, sf_dir, "documents"), fold("doc_id", 7) == 2)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents by a model of the labels that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(~toxicity.held_out())
+    scored = toxicity.score_texts(docs, toxicity.learn(spark, docs, labels))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages."""
     return html_extraction.main_texts(spark, table(spark, sf_dir, "pages"))
 
 
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth vector."""
+    return ann.search(spark, table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, count=20)
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold passages of 50 words or more which other documents repeat, if only nearly."""
     found = substring_dedup.repeated_passages(spark, table(spark, sf_dir, "documents"))
@@ -63,7 +78,8 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: two-word shingles, similarity 0.8."""
-    return minhash_dedup.near_duplicates(spark, table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
+    docs = table(spark, sf_dir, "documents")
+    return minhash_dedup.near_duplicates(spark, docs, shingle_words=2, percent=80).drop("row")
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +114,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
+    "op2_toxicity": op2_toxicity,
     "op3_html_extraction": op3_html_extraction,
+    "op4_ann": op4_ann,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_chat_format": op6_chat_format,
     "op7_minhash_dedup": op7_minhash_dedup,

@@ -13,7 +13,8 @@
    shard go to one shard as a whole.
 
 Null texts have no bytes and size 1. Null ids, ties and repeated rows are ordered by hash and id; identical
-rows are interchangeable. Columns beginning with `cut_` are reserved, others are kept. Empty table: empty result.
+rows are interchangeable. Other columns are kept, but for those beginning with `cut_` and those named as the
+columns that are added, which are replaced. Empty table: empty result.
 """
 
 from __future__ import annotations
@@ -86,6 +87,7 @@ def shard_documents(
     docs: DataFrame, *, shards: int = 8, range_rows: int = 1_000_000, draws: int = 32, together: float = 0.02
 ) -> DataFrame:
     """`docs` (`doc_id`, `text`, others) with `size` (UTF-8 bytes + 1), `shard` and `slot` (from 0, no gaps)."""
+    docs = docs.drop("size", "shard", "slot")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.withColumns(
         {

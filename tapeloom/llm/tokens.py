@@ -7,7 +7,7 @@ own length and nothing is looked up word by word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +47,7 @@ def _power_tables(length: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers) < length:
         size = max(length, PIECE_BYTES + 1)
         powers, inverses = (np.full(size, base, dtype=np.uint64) for base in (_BASE, _BASE_INVERSE))
-        powers[0] = inverses[0] = 1
+        powers[0], inverses[0] = 1, 1
         powers, inverses = np.cumprod(powers), np.cumprod(inverses)
         if size > 16 * PIECE_BYTES:  # for one very long text; not kept
             return powers, inverses
@@ -76,12 +76,19 @@ def hash_words(
     first[heads] = word[heads]
     last[tails] = word[tails]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    powers, inverses = _power_tables(size)
-    sums = np.zeros(size + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_VALUE[data] * powers[:size], out=sums[1:])
-    hashes = (sums[ends] - sums[starts]) * inverses[starts]
-    hashes = mix(hashes + (ends - starts).astype(np.uint64) * _GOLDEN)
-    return hashes, starts, ends, np.searchsorted(starts, bounds)
+    return span_hasher(data)(starts, ends), starts, ends, np.searchsorted(starts, bounds)
+
+
+def span_hasher(data: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Hashes of data[starts[i]:ends[i]] with A-Z lower-cased, as differences of one running polynomial."""
+    powers, inverses = _power_tables(len(data))
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE_VALUE[data] * powers[: len(data)], out=sums[1:])
+
+    def hashes(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix((sums[ends] - sums[starts]) * inverses[starts] + (ends - starts).astype(np.uint64) * _GOLDEN)
+
+    return hashes
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

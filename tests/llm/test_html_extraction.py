@@ -1,0 +1,63 @@
+import pytest
+
+from tapeloom.llm import html_extraction as extraction
+
+PAGES = "page_id bigint, url string, html string, text int, host string"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("", ""),
+        ("just text", "just text"),
+        ("<p>a&amp;b &lt;i&gt; &copy; &#233;", "a&b <i> © é"),
+        ("<p>a<br>b<p>c  \n d", "a b\n\nc d"),
+        ("<ul><li>x<li><b>y</b></ul>z", "x\n\ny\n\nz"),
+        ("<body><nav>menu</nav><header>top</header><article><header><h1>T</h1></header><p>in</p></article>out", "T\n\nin"),
+        ("<main><p>in<div class='cookie-notice'>yes</div><p>more</main><div>out</div>", "in\n\nmore"),
+        ("<p>a<script>if (x < 1) '</p>'</script>b<style>p{}</style><!-- no <p> -->", "ab"),
+        ("<article><p>x</p><section id=comments><p>reader</p></section></article>", "x"),
+        ("<article class=comment><p>reader</p></article><p>plain</p>", "plain"),
+        ("<div role=main><p>x</p><form><p>f</p></form></div><p>y", "x"),
+        ("<p title='a > b'>quoted</p><p hidden>no</p><img src=x>", "quoted"),
+        ("<table><tr><td>1<td>2<tr><td>3</table>", "1\n\n2\n\n3"),
+        ("</div></p><p>stray", "stray"),
+        ("<p>cut <b", "cut"),
+        ("<textarea>typed", ""),
+        ("<article><p>first</p></article><article><p>second</p></article>", "first\n\nsecond"),
+    ],
+)
+def test_main_text_of_single_pages(page, text):
+    assert extraction.extract(page) == text
+
+
+def site(n, host="a.example"):
+    """Pages without any helpful names: the same bars around texts of their own."""
+    bar = "<div><div>Home</div><div>News of the house</div></div>"
+    end = "<div><p>All rights with us</p></div>"
+    return [(i, f"http://{host}/{i}", f"<body>{bar}<div><p>Story {i} is told</p><p>and ends {i}</p></div>{end}", 1, "x") for i in range(n)]
+
+
+def test_recurring_subtrees_of_a_host_are_removed(spark):
+    rows = site(20) + site(3, "b.example")
+    got = {(r.url, r.page_id): r for r in extraction.main_texts(spark, spark.createDataFrame(rows, PAGES).repartition(3)).collect()}
+    assert got["http://a.example/7", 7].text == "Story 7 is told\n\nand ends 7"
+    assert got["http://b.example/1", 1].text.startswith("Home")  # too few pages to tell
+    assert all(r.n_chars == len(r.text) for r in got.values())
+
+
+def test_copies_of_an_article_are_no_template(spark):
+    page = "<body><div>bar</div><article><h1>One</h1><p>the same words</p><div><p>Follow us</p></div></article>"
+    other = "<body><div>bar</div><article><p>other words {} here</p><div><p>Follow us</p></div></article>"
+    rows = [(i, f"http://c.example/{i}", page if i % 2 else other.format(i), 1, "x") for i in range(40)]
+    got = {r.page_id: r.text for r in extraction.main_texts(spark, spark.createDataFrame(rows, PAGES)).collect()}
+    assert got[1] == "One\n\nthe same words" and got[2] == "other words 2 here"
+
+
+def test_edge_rows(spark):
+    rows = [(1, None, None, 1, "x"), (None, "no url", "", 1, "x"), (2, "http://H.example:80/x", "<p>" + "w " * 50_000, 1, "x")]
+    rows += [(3, "http://h.example", "<p>same</p>", 1, "x")] * 2
+    got = extraction.main_texts(spark, spark.createDataFrame(rows, PAGES)).collect()
+    assert sorted(r.n_chars for r in got) == [0, 0, 4, 4, 99_999]
+    assert all(r.text is not None for r in got)
+    assert extraction.main_texts(spark, spark.createDataFrame([], PAGES)).count() == 0

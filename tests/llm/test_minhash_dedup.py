@@ -1,0 +1,78 @@
+import random
+
+import pytest
+
+import cases
+from tapeloom.llm import minhash_dedup
+from tapeloom.llm.components import connected
+
+
+def linked(a, b):
+    n = len(a & b)
+    return bool(a and b) and 100 * n >= 80 * (len(a) + len(b) - n)
+
+
+def varied(seed, texts, copies, words=80):
+    """Groups of near copies: chains of edits, so that links are not transitive."""
+    rng = random.Random(seed)
+    rows = []
+    for t in range(texts):
+        text = [f"t{rng.randrange(400)}" for _ in range(words)]
+        for _ in range(copies):
+            rows.append(" ".join(text))
+            for _ in range(rng.choice([0, 1, 2, 4])):
+                text[rng.randrange(words)] = f"e{rng.randrange(10**6)}"
+    rng.shuffle(rows)
+    return [(i, t, "en", "s", 0) for i, t in enumerate(rows)]
+
+
+@pytest.mark.parametrize("size", [2, 5])
+def test_components_equal_brute_force(spark, size):
+    rows = varied(size, 12, 12)
+    expected = cases.components({r[0]: cases.shingles(r[1], size) for r in rows}, linked)
+    got = minhash_dedup.near_duplicates(spark, spark.createDataFrame(rows, cases.DOCS), shingle_words=size).collect()
+    assert {r.doc_id: r.component_id for r in got} == expected
+    assert {r.doc_id: r.n_shingles for r in got} == {r[0]: len(cases.shingles(r[1], size)) for r in rows}
+    assert {r.doc_id for r in got if r.kept} == set(expected.values())
+
+
+def test_a_bucket_center_that_links_to_nothing_hides_no_links(spark, monkeypatch):
+    """With one band of one row nearly everything shares buckets: the smallest class is often the wrong center."""
+    rows = varied(9, 3, 30, words=30)
+    expected = cases.components({r[0]: cases.shingles(r[1], 2) for r in rows}, linked)
+    got = minhash_dedup.near_duplicates(spark, spark.createDataFrame(rows, cases.DOCS), shingle_words=2).collect()
+    assert {r.doc_id: r.component_id for r in got} == expected
+
+
+def test_edge_rows(spark):
+    docs = cases.with_clashing_columns(cases.edge_docs(spark))
+    got = minhash_dedup.near_duplicates(spark, docs, shingle_words=2).collect()
+    assert len(got) == len(cases.edge_rows())
+    assert all(r.component_id is None and r.kept for r in got if r.doc_id is None)
+    named = {r.doc_id: r for r in got if r.doc_id is not None}
+    assert [named[i].n_shingles for i in (100, 101, 102, 103, 104)] == [0, 0, 0, 1, 1]
+    assert all(named[i].component_id == i for i in (100, 101, 102, 103, 104))
+    assert named[106].component_id == 105 and not named[106].kept
+    assert minhash_dedup.near_duplicates(spark, cases.empty_docs(spark)).count() == 0
+
+
+def test_one_of_each_group_stays(spark):
+    docs = cases.edge_docs(spark)
+    kept = minhash_dedup.drop_near_duplicates(spark, docs, shingle_words=5).collect()
+    ids = [r.doc_id for r in kept]
+    assert ids.count(200) == 1 and 106 not in ids and {100, 101, 102, 103, 104, 105} <= set(ids)
+    assert ids.count(None) == 2  # rows without an id take no part
+    assert kept[0].__fields__ == docs.columns
+    assert minhash_dedup.drop_near_duplicates(spark, cases.empty_docs(spark)).count() == 0
+
+
+def test_estimate_keeps_pairs_at_the_threshold():
+    assert 80 < minhash_dedup.least_agreeing(80) < 0.85 * minhash_dedup.HASHES
+
+
+def test_components_of_long_chains_and_loops(spark):
+    edges = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (101, 102), (102, 100), (7, 7), (100, 101)]
+    got = connected(spark, spark.createDataFrame(edges, "a bigint, b bigint"), "a", "b").collect()
+    roots = {r.node: r.root for r in got}
+    assert all(roots[i] == 0 for i in range(61)) and all(roots[i] == 100 for i in (100, 101, 102)) and len(roots) == 64
+    assert connected(spark, spark.createDataFrame([], "a bigint, b bigint"), "a", "b").count() == 0
