@@ -18,5 +18,5 @@ def limit_remaining(maximum: Column, written: Column) -> Column:
 def next_cursor(max_mts: Column, cursor: Column) -> Column:
     """Next page cursor; a cursor that does not advance fails."""
     following = max_mts + 1
-    error = F.raise_error(F.concat(F.lit("cursor did not advance past "), cursor.cast("string")))
+    error = F.raise_error(F.concat(F.lit("the next page would not start behind "), cursor.cast("string")))
     return F.when(following <= cursor, error).otherwise(following)

@@ -2,7 +2,7 @@
 
 Payloads are parsed once with `from_json` into text fields, because that keeps the number form
 (`60000.0`, `-0.0`). What that loses is whether a text was a JSON string or a number, which matters
-only for a few rare texts; `scalar_text` settles those by looking for the quoted form in the source.
+only for a few rare texts; for those `scalar_text` takes the type of the field from the document.
 """
 
 from __future__ import annotations
@@ -15,9 +15,6 @@ JSON_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 # integers that may not fit 64 bits.
 _RARE = r"^([\[{]|-?[0-9]\.[0-9]+E-?[0-9]+$|-?[0-9]{19,}$)"
 
-# A JSON string whose content looks like one of those, for which the document must be consulted.
-_RARE_STRING = r"""r'"([\[{{]|-?[0-9]\.[0-9]+E-?[0-9]+"|-?[0-9]{{19,}}")'"""
-
 # Canonical text of a JSON number as `from_json` gives it: integers of 64 bits and short reals as
 # they are; reals with an exponent, and wider integers, in the shortest round-trip form, plain from
 # 1e-5 up to 1e16 and with an exponent beyond. The mantissa has one digit before the point, so the
@@ -35,10 +32,8 @@ CASE WHEN instr({{text}}, 'E') > 0 THEN
      ELSE {{text}}
 END"""
 
-_QUOTED = r"""contains({source}, concat('"', replace(replace({text}, r'\', r'\\'), '"', r'\"'), '"'))"""
-
 _SCALAR_TEXT = (
-    "CASE WHEN {text} RLIKE r'" + _RARE + "' THEN CASE WHEN " + _QUOTED + " THEN {text}"
+    "CASE WHEN {text} RLIKE r'" + _RARE + "' THEN CASE WHEN {type} = 'STRING' THEN {text}"
     " WHEN left({text}, 1) IN ('{{', '[') THEN NULL ELSE " + _NUMBER_TEXT + " END ELSE {text} END"
 )
 _SCALAR_TEXT = _SCALAR_TEXT.replace(_RARE, _RARE.replace("{", "{{").replace("}", "}}"))
@@ -69,23 +64,15 @@ def number_text(text: str) -> Column:
     return F.expr(_NUMBER_TEXT.format(text=text))
 
 
-def scalar_text(text: str, source: str) -> Column:
+def scalar_text(text: str, source: str, *paths: str) -> Column:
     """Text of a JSON scalar field; null for null, arrays and objects.
 
-    `text` names a text field read by `from_json`, `source` the JSON document it was read from,
-    or its `scalar_source`. The rule is one SQL expression, because dozens of fields of a row use it. A number is taken
-    for a string only if the same document also holds its Java exponent form as a string.
-    """
-    return F.expr(_SCALAR_TEXT.format(text=text, source=source))
-
-
-def scalar_source(document: str) -> Column:
-    """The document for `scalar_text`, or null when none of its strings needs it.
-
-    One look per document; rows made from its elements then carry no copy of it.
+    `text` names a text field read by `from_json`, `source` the JSON document it was read from, and `paths` where
+    the field stands in it: the first path that is there counts. The rule is one SQL expression, because
+    dozens of fields of a row use it; only a rare text opens the document.
     """
-    rare = _RARE_STRING.format()
-    return F.expr(f"CASE WHEN {document} RLIKE {rare} THEN {document} END")
+    found = ", ".join(f"try_variant_get(try_parse_json({source}), '{path}', 'variant')" for path in paths)
+    return F.expr(_SCALAR_TEXT.format(text=text, type=f"schema_of_variant(coalesce({found}))"))
 
 
 def object_texts(source: Column, elements: Column, *paths: str) -> Column:
@@ -108,16 +95,33 @@ def object_texts(source: Column, elements: Column, *paths: str) -> Column:
     ).otherwise(elements)
 
 
+_LAST = "end of the payload"
+
+
 def is_json(source: Column) -> Column:
-    return F.try_parse_json(source).isNotNull()
+    """Whether the text is one JSON document and nothing else.
+
+    Spark's parsers ignore what follows a document. In a list before a last element that is known, a document
+    must be followed by that element.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), source, F.lit(f',"{_LAST}"]')))
+    return F.coalesce(
+        (F.try_variant_get(listed, "$[1]", "string") == _LAST)
+        & F.try_variant_get(listed, "$[2]", "variant").isNull()
+        & F.try_variant_get(listed, "$[0]", "variant").isNotNull(),
+        F.lit(False),
+    )
+
 
+# Where the data of a message may stand, the first before the second.
+DATA_PLACES = ("$.params.data", "$.data")
 
 # Message parts ---------------------------------------------------------------------------------
 
 # Envelope of every derivatives message. `data` and `result` are filled in by the reader.
 _MESSAGE = (
-    "jsonrpc string, id bigint, method string, error string,"
-    " params struct<channel: variant, type: variant, data: {data}>, data {data}, result {result}"
+    "jsonrpc: string, id: bigint, method: string, error: string,"
+    " params: struct<channel: variant, type: variant, data: {data}>, data: {data}, result: {result}"
 )
 
 
@@ -136,10 +140,18 @@ def parse_messages(
 ) -> DataFrame:
     """Add `message`, the payload parsed once.
 
-    on_bad: "fail" stops the job on a payload that is not JSON, naming `where` it came from;
-    "keep" leaves such rows with an all-null message.
+    The payload is read in a list before a last element that is known, so a document that is broken anywhere, and
+    one that anything follows, is no message. on_bad: "fail" stops the job on a payload that is not JSON, naming
+    `where` it came from; "keep" leaves such rows with a null message.
     """
-    parsed = parse_json_column(df, payload, message_schema(data, result), "message")
+    listed = F.concat(F.lit("["), F.col(payload), F.lit(f',{{"method":"{_LAST}"}}]'))
+    messages = F.from_json(listed, f"array<struct<{message_schema(data, result)}>>", JSON_OPTIONS)
+    parsed = add_once(df, messages, "messages").withColumn(
+        "message",
+        F.when(
+            (F.size("messages") == 2) & (F.get("messages", F.lit(1))["method"] == _LAST), F.get("messages", F.lit(0))
+        ),
+    ).drop("messages")
     if on_bad == "keep":
         return parsed
     if on_bad != "fail":
@@ -150,15 +162,8 @@ def parse_messages(
 
 
 def payload_is_json(message: str = "message", payload: str = "payload_text") -> Column:
-    """True when the payload is JSON. A parsed field proves it; only an empty message is re-read."""
-    fields = [
-        F.col(f"{message}.{name}").isNotNull()
-        for name in ("jsonrpc", "method", "params", "data", "result")
-    ]
-    seen = fields[0]
-    for field in fields[1:]:
-        seen = seen | field
-    return F.when(seen, True).otherwise(is_json(F.col(payload)))
+    """True when the payload is one JSON document. A parsed message proves it; only without one it is read again."""
+    return F.when(F.col(message).isNotNull(), True).otherwise(is_json(F.col(payload)))
 
 
 def message_data(message: str = "message", payload: str = "payload_text") -> Column:

@@ -11,7 +11,7 @@ def symbol_partition_name(symbol: Column) -> Column:
     """Directory name of a symbol: ASCII letters, digits, `-` and `_`, lower case; empty fails."""
     name = F.lower(F.regexp_replace(symbol, r"[^A-Za-z0-9_-]", "_"))
     return F.when(
-        symbol == "", F.raise_error(F.lit("symbol cannot be empty after path normalization"))
+        symbol == "", F.raise_error(F.lit("a symbol needs at least one character"))
     ).otherwise(name)
 
 
@@ -21,9 +21,32 @@ def decimal_text(value: Column) -> Column:
     return F.regexp_replace(text, r"\.?0+$", "")
 
 
+_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,2})?$"
+
+
 def parse_decimal(text: Column) -> Column:
-    """Decimal of a numeric text, null when it is none."""
-    return text.try_cast(TRADE_DECIMAL)
+    """Exact plain decimal text of a numeric text; null for anything else, blanks included.
+
+    Nothing is rounded: digits are moved by the exponent and zeros that mean nothing are dropped, whatever the
+    number of digits. An exponent may have two digits.
+    """
+    mantissa = F.regexp_replace(text, r"^[+-]|[eE].*$", "")
+    exponent = F.coalesce(F.regexp_extract(text, r"[eE]([+-]?[0-9]+)$", 1).try_cast("int"), F.lit(0))
+    whole = F.substring_index(mantissa, ".", 1)
+    digits = F.concat(F.repeat(F.lit("0"), 100), F.replace(mantissa, F.lit("."), F.lit("")), F.repeat(F.lit("0"), 100))
+    point = F.length(whole) + exponent + 100
+    before = F.regexp_replace(F.substring(digits, F.lit(1), point), "^0+", "")
+    after = F.regexp_replace(F.substr(digits, point + 1), "0+$", "")
+    size = F.concat(
+        F.when(before == "", "0").otherwise(before), F.when(after == "", "").otherwise(F.concat(F.lit("."), after))
+    )
+    plain = F.when(text.startswith("-") & (size != "0"), F.concat(F.lit("-"), size)).otherwise(size)
+    return F.when(text.rlike(_NUMBER), plain)
+
+
+def absolute_decimal(value: Column) -> Column:
+    """Size of a decimal text."""
+    return F.ltrim(value, F.lit("-"))
 
 
 def parse_integer(text: Column) -> Column:
@@ -32,15 +55,15 @@ def parse_integer(text: Column) -> Column:
 
 
 def trade_side(amount: Column) -> Column:
-    """Sign of the amount as a side; zero counts as buy."""
-    return F.when(amount >= 0, F.lit("buy")).otherwise(F.lit("sell"))
+    """Sign of an exact decimal text as a side; zero counts as buy."""
+    return F.when(amount.startswith("-"), F.lit("sell")).otherwise(F.lit("buy"))
 
 
 def parse_mts(text: Column) -> Column:
     """Epoch milliseconds of a digits-only text or an RFC 3339 instant with offset; else fails."""
     instant = r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}:\d{2}(\.\d+)?([Zz]|[+-]\d{2}:\d{2})$"
     error = F.raise_error(
-        F.concat(F.lit("expected Unix milliseconds or RFC3339 timestamp: "), text)
+        F.concat(F.lit("neither epoch milliseconds nor an RFC 3339 instant: "), text)
     )
     return (
         F.when(text.isNull(), F.lit(None).cast("bigint"))

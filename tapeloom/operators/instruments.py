@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tapeloom import schemas
 from tapeloom.functions.json_values import (
+    DATA_PLACES,
     add_once,
     message_channel,
     message_data,
@@ -30,15 +31,15 @@ _FILTER_SCHEMA = (
 )
 
 
-def instrument_columns(item: str, source: str) -> list[Column]:
-    """The 19 instrument columns of a parsed object `item` read from the JSON text `source`."""
+def instrument_columns(item: str, source: str, *places: str) -> list[Column]:
+    """The 19 instrument columns of a parsed object `item` that stands at `places` of the JSON text `source`."""
     columns = []
     for field in _PAYLOAD_FIELDS:
         path = f"{item}.{field.name}"
         if field.name == "instrument_name":
             value = string_only(F.col(path))
         elif field.dataType.simpleString() == "string":
-            value = scalar_text(path, source)
+            value = scalar_text(path, source, *[f"{place}.{field.name}" for place in places])
         else:
             value = F.col(path)
         columns.append(value.alias(field.name))
@@ -70,7 +71,7 @@ def listed_instruments(
         F.lit(0).alias("source_rank"),
         "load_order",
         "pos",
-        *instrument_columns("item", "element"),
+        *instrument_columns("item", "element", "$"),
     ).where("instrument_name is not null")
 
 
@@ -86,7 +87,7 @@ def created_instruments(
         F.lit(1).alias("source_rank"),
         "load_order",
         F.lit(0).alias("pos"),
-        *instrument_columns("item", "payload_text"),
+        *instrument_columns("item", "payload_text", *DATA_PLACES),
     ).where("instrument_name is not null")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tapeloom import schemas
-from tapeloom.functions.text import decimal_text, mts_to_timestamp, rfc3339_millis, trade_side, utc_date
+from tapeloom.functions.text import absolute_decimal, mts_to_timestamp, rfc3339_millis, trade_side, utc_date
 from tapeloom.operators.ranking import TOP_K_ROWS, first_rows
 
 
@@ -14,12 +14,12 @@ def derive_trades(
     symbol: str = schemas.HISTORY_DEFAULT_SYMBOL,
     exchange: str = schemas.HISTORY_EXCHANGE,
 ) -> DataFrame:
-    """Trades of parsed page rows: exchange, symbol, id, mts, timestamp, side and three decimals.
+    """Trades of parsed page rows: exchange, symbol, id, mts, timestamp, side and three exact decimal texts.
 
     A `symbol` column in the rows wins over the argument.
     """
     if not symbol:
-        raise ValueError("symbol cannot be empty")
+        raise ValueError("trades need a symbol")
     name = F.col("symbol") if "symbol" in rows.columns else F.lit(symbol)
     return rows.select(
         F.lit(exchange).alias("exchange"),
@@ -29,7 +29,7 @@ def derive_trades(
         mts_to_timestamp(F.col("mts")).alias("timestamp"),
         trade_side(F.col("amount")).alias("side"),
         "amount",
-        F.abs("amount").alias("amount_abs"),
+        absolute_decimal(F.col("amount")).alias("amount_abs"),
         "price",
     )
 
@@ -54,7 +54,7 @@ def unique_trades(trades: DataFrame) -> DataFrame:
 
 def check_range(start: int | None, end: int | None) -> None:
     if start is not None and end is not None and start > end:
-        raise ValueError("start must be less than or equal to end")
+        raise ValueError(f"the range ends ({end}) before it starts ({start})")
 
 
 def in_time_range(trades: DataFrame, start: int | None = None, end: int | None = None) -> DataFrame:
@@ -76,7 +76,7 @@ def first_trades(trades: DataFrame, max_trades: int | None, top_k_rows: int = TO
     if max_trades is None:
         return trades
     if max_trades <= 0:
-        raise ValueError("max-trades must be greater than zero")
+        raise ValueError(f"max_trades has to be positive, not {max_trades}")
     return first_rows(trades, ["mts", "id"], max_trades, top_k_rows)
 
 
@@ -85,20 +85,14 @@ def recent_page(
 ) -> DataFrame:
     """The newest `limit` trades up to `end`, oldest first; then at most `max_trades` of them."""
     if not 1 <= limit <= schemas.MAX_PAGE_TRADES:
-        raise ValueError(f"limit must be between 1 and {schemas.MAX_PAGE_TRADES}")
+        raise ValueError(f"a page holds 1 to {schemas.MAX_PAGE_TRADES} trades, not {limit}")
     page = in_time_range(trades, end=end).orderBy(F.desc("mts"), F.desc("id")).limit(limit)
     return sorted_trades(first_trades(page, max_trades))
 
 
 def stored_form(trades: DataFrame) -> DataFrame:
-    """Trades as stored: text instants and exact decimal texts, in the order of the schema."""
-    texts = trades.withColumns(
-        {
-            "timestamp": rfc3339_millis(F.col("timestamp")),
-            **{name: decimal_text(F.col(name)) for name in ("amount", "amount_abs", "price")},
-        }
-    )
-    return texts.select(*schemas.TRADES.names)
+    """Trades as stored: instants as text, in the order of the schema."""
+    return trades.withColumn("timestamp", rfc3339_millis(F.col("timestamp"))).select(*schemas.TRADES.names)
 
 
 def with_date(trades: DataFrame) -> DataFrame:

@@ -24,6 +24,7 @@ from tapeloom.sinks.history import (
     to_stored,
     write_history,
 )
+from tapeloom.session import materialize
 from tapeloom.sources.trade_pages import good_rows, page_rows
 
 
@@ -107,8 +108,9 @@ def _write_after(spark, new: DataFrame, root: str, symbol: str, boundary: dt.dat
         stored = read_history(spark, root, symbol).where(
             (F.col("date") == F.lit(boundary)) & (F.col("mts") < first_mts)
         )
-        added = new.where(is_late)
-        whole, _ = write_history(stored.unionByName(added), root, symbol)
+        # The merged day is stored before its old files go.
+        merged = materialize(spark, stored.unionByName(new.where(is_late)), "merged-day")
+        whole, _ = write_history(merged, root, symbol)
         rows += whole
         newest = newest or boundary
     return rows, newest

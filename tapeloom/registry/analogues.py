@@ -239,6 +239,17 @@ def creation_events(spark: SparkSession, sf_dir: str, source: DataFrame | None =
     return as_events(events, CREATION_PAYLOAD, "'instrument_creation'", "event_id", "mts", day)
 
 
+def capture_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages of the derivatives venue, received on their day in the order of their `line_no`."""
+    parts = [make(spark, sf_dir) for make in (control_events, creation_events, ticker_events, trade_events)]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    instant = F.unix_millis(F.col("date").cast("timestamp")) + F.pmod("line_no", F.lit(86_400_000))
+    received = F.date_format(F.timestamp_millis(instant), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    return rows.withColumns({"received_mts": instant, "received_at": received, "payload_base64": F.lit(None).cast("string")})
+
+
 # Other frames ----------------------------------------------------------------------------------
 
 FRAME_TEXT = f"""

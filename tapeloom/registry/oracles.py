@@ -245,6 +245,9 @@ SELECT exchange, symbol, stored AS channel, count(*) AS messages FROM frames GRO
     "captured_channel_counts": f"""WITH {FRAMES}
 SELECT exchange, stored AS channel, cast(cast(ts AS date) AS varchar) AS day, count(*) AS messages, min({MS}) AS first_mts
 FROM frames GROUP BY ALL""",
+    "text_events_per_channel": f"""WITH {FRAMES}
+SELECT CASE WHEN event_id % 5 = 0 AND exchange = 'deribit' THEN 'control' ELSE stored END AS channel, count(*) AS events
+FROM frames WHERE event_id % 5 <> 0 GROUP BY ALL""",
     "first_messages_per_feed": f"""WITH {FRAMES}
 SELECT exchange, symbol, feed AS channel, event_id,
   CASE exchange WHEN 'bitfinex' THEN props WHEN 'hyperliquid' THEN {SPOT_TEXT} ELSE {FRAME_TEXT} END AS text
@@ -263,6 +266,18 @@ FROM (VALUES {catalogue_values()}) v(venue, exchange, symbol, channel, connectio
 LEFT JOIN (SELECT f.*, (SELECT count(*) FROM events) AS messages FROM (VALUES
     ('deribit', 'BTC', 'instrument_lifecycle'), ('hyperliquid', 'spot_btc', 'spot_market_data'),
     ('bitfinex', 'tBTCUSD', 'trades')) f(exchange, symbol, channel)) n USING (exchange, symbol, channel)""",
+    "exact_decimals": """
+WITH digits AS (SELECT *, lpad(cast(l_orderkey AS varchar), 12, '7') AS d FROM lineitem),
+exact AS (
+  SELECT l_orderkey, l_linenumber, CASE l_linenumber % 7
+    WHEN 0 THEN '-' || d || l_partkey || '.' || rtrim(d || d || l_linenumber, '0')
+    WHEN 1 THEN d || d || '7654321.5'
+    WHEN 2 THEN '0.' || repeat('0', 20) || rtrim(d, '0')
+    WHEN 3 THEN '-' || d[1:9] || '.' || d[10:12] || '25'
+    WHEN 4 THEN d || repeat('0', 20) END AS exact
+  FROM digits
+)
+SELECT *, ltrim(exact, '-') AS size, CASE WHEN exact LIKE '-%' THEN 'sell' WHEN exact IS NOT NULL THEN 'buy' END AS side FROM exact""",
     "trade_rows_from_pages": f"WITH {TRADES} SELECT {STORED_TRADES.format(symbol='sym')} FROM trades",
     "trades_time_range": f"""WITH {TRADES}
 SELECT id, mts, CASE WHEN amount >= 0 THEN 'buy' ELSE 'sell' END AS side FROM trades WHERE {RANGE}""",
@@ -329,6 +344,9 @@ UNION ALL SELECT 'incremental_ticker', r.day, count(*), count(t.kind)
 FROM ticker_rows r LEFT JOIN terms t USING (day, instrument_name) GROUP BY ALL
 UNION ALL SELECT 'trades', r.day, count(*), count(t.kind)
 FROM trade_rows r LEFT JOIN terms t USING (day, instrument_name) GROUP BY ALL""",
+    "normalized_trades": f"""WITH {terms(per_day=True)},{TRADE_ROWS}
+SELECT r.day, r.instrument_name, r.price, r.trade_id, t.kind, t.strike, t.option_type
+FROM trade_rows r LEFT JOIN terms t USING (day, instrument_name)""",
     "required_columns_hold": f"""WITH {TRADE_ROWS}
 SELECT count_if(received_mts IS NULL) AS exchange, count_if(received_mts IS NULL) AS symbol,
   count_if(received_mts IS NULL) AS received_at, count_if(received_mts IS NULL) AS received_mts,
@@ -382,6 +400,12 @@ UNION ALL SELECT doc_id, 'none', NULL, NULL, NULL FROM labels""",
 SELECT event_id, 'spot_market_data' AS channel, {SPOT_TEXT} AS text FROM events""",
     "stream_route_land": f"""WITH {FRAMES}
 SELECT exchange, symbol, stored AS channel, count(*) AS messages FROM frames GROUP BY ALL""",
+    "landed_batch_stream_batch": f"""WITH {FRAMES}
+SELECT exchange, symbol, stored AS channel, 3 * count(*) AS messages FROM frames GROUP BY ALL""",
+    "history_batch_then_stream": f"WITH {TRADES} SELECT {STORED_TRADES.format(symbol=repr('tBTCUSD'))} FROM trades",
+    "stream_terms_between_batches": f"""WITH {terms()},{TICKER_ROWS}
+SELECT r.instrument_name, count(*) AS rows, count(CASE WHEN r.day = '2026-06-30' THEN t.kind END) AS with_terms
+FROM ticker_rows r LEFT JOIN terms t USING (instrument_name) GROUP BY 1""",
     "stream_first_seen": f"""
 SELECT instrument_name, unnest(['incremental_ticker.' || instrument_name, 'trades.' || instrument_name || '.100ms']) AS channel
 FROM (SELECT DISTINCT instrument_name FROM ({CREATED}))""",

@@ -12,6 +12,7 @@ from tapeloom.operators import facts, inspection, instruments, quality, ranking,
 from tapeloom.operators.enrichment import attach_terms, in_schema_order
 from tapeloom.plans.capture import capture, route_messages
 from tapeloom.plans.history_load import load_history, page_trades
+from tapeloom.plans.normalize_day import normalize_days
 from tapeloom.registry import analogues
 from tapeloom.registry.analogues import events_table, table
 from tapeloom.session import materialize, scratch_dir
@@ -24,6 +25,8 @@ REGISTERED: dict[str, Query] = {}
 
 RANGE_START = "2024-01-10T00:00:00Z"
 RANGE_END = "2024-01-20T12:30:00+02:00"
+# Trades up to here are loaded by a batch before a stream takes over.
+HALF_WAY = 1_705_276_800_000
 
 
 def registered(query: Query) -> Query:
@@ -111,6 +114,19 @@ def captured_channel_counts(spark, sf_dir):
     )
 
 
+@registered
+def text_events_per_channel(spark, sf_dir):
+    """Landed events that have a text, per channel; binary frames are left out."""
+    root = scratch_dir(spark, "texts")
+    frames = _replayed(events_table(spark, sf_dir))
+    is_error = F.col("event_id") % 5 == 0
+    frames = frames.withColumn("binary", F.when(is_error, F.encode("text", "UTF-8"))).withColumn(
+        "text", F.when(~is_error, F.col("text"))
+    )
+    capture(frames, root, F.col("ts"), gather=True)
+    return raw_capture.count_by_channel(raw_capture.read_landed_events(spark, root))
+
+
 @registered
 def first_messages_per_feed(spark, sf_dir):
     messages = _replayed(events_table(spark, sf_dir))
@@ -141,6 +157,30 @@ def feed_coverage(spark, sf_dir):
 # Trade history ---------------------------------------------------------------------------------
 
 
+@registered
+def exact_decimals(spark, sf_dir):
+    """Numbers with up to 31 integer and 28 fractional digits, signs, zeros that mean nothing, and exponents."""
+    digits = "lpad(l_orderkey, 12, '7')"
+    forms = {
+        0: f"concat('-', {digits}, l_partkey, '.', {digits}, {digits}, l_linenumber)",
+        1: f"concat('+00', {digits}, {digits}, '7654321.5000')",
+        2: f"concat('0.', repeat('0', 20), {digits})",
+        3: f"concat('-', {digits}, '.25e-3')",
+        4: f"concat({digits}, 'E20')",
+        5: f"concat(' ', {digits})",
+    }
+    cases = " ".join(f"WHEN {n} THEN {form}" for n, form in forms.items())
+    lines = table(spark, sf_dir, "lineitem").withColumn("number", F.expr(f"CASE l_linenumber % 7 {cases} ELSE '' END"))
+    exact = text.parse_decimal(F.col("number"))
+    return lines.select(
+        "l_orderkey",
+        "l_linenumber",
+        exact.alias("exact"),
+        text.absolute_decimal(exact).alias("size"),
+        F.when(exact.isNotNull(), text.trade_side(exact)).alias("side"),
+    )
+
+
 @registered
 def trade_rows_from_pages(spark, sf_dir):
     rows = trade_pages.page_rows(analogues.trade_pages(spark, sf_dir))
@@ -319,19 +359,13 @@ def ticker_enriched(spark, sf_dir):
 
 @registered
 def normalize_counts(spark, sf_dir):
-    root = scratch_dir(spark, "normalized")
-    terms = _terms(spark, sf_dir)
-    days = list(analogues.DAYS)
-    datasets.write_dataset(instruments.sorted_instruments(terms, ["date"]), root, "instruments", days)
-    stored = datasets.read_dataset(spark, root, "instruments", days)
-    keys = ("date", "instrument_name")
-    ticker = facts.ticker_rows(analogues.ticker_events(spark, sf_dir), keep=["date"])
-    datasets.write_dataset(attach_terms(ticker, stored, keys), root, "incremental_ticker", days)
-    trade = facts.trade_rows(analogues.trade_events(spark, sf_dir), keep=["date"])
-    datasets.write_dataset(attach_terms(trade, stored, keys), root, "trades", days)
+    """Messages landed as events, normalized by the day plan, and counted as stored."""
+    landed, root = scratch_dir(spark, "landed-days"), scratch_dir(spark, "normalized")
+    event_sink.append_events(analogues.capture_events(spark, sf_dir), landed, gather=True)
+    normalize_days(spark, landed, root, analogues.DAYS, layout="landed")
     counted = None
     for dataset in schemas.DATASETS:
-        one = datasets.read_dataset(spark, root, dataset, days)
+        one = datasets.read_dataset(spark, root, dataset, analogues.DAYS)
         known = F.count("kind") if dataset != "instruments" else F.count("strike")
         one = one.groupBy(F.lit(dataset).alias("dataset"), F.col("date").cast("string").alias("day")).agg(
             F.count(F.lit(1)).alias("rows"), known.alias("with_terms")
@@ -340,6 +374,16 @@ def normalize_counts(spark, sf_dir):
     return counted
 
 
+@registered
+def normalized_trades(spark, sf_dir):
+    """Trade rows that the day plan stores, with the terms of their day."""
+    landed, root = scratch_dir(spark, "landed-days"), scratch_dir(spark, "normalized")
+    event_sink.append_events(analogues.capture_events(spark, sf_dir), landed, gather=True)
+    normalize_days(spark, landed, root, analogues.DAYS, layout="landed")
+    rows = datasets.read_dataset(spark, root, "trades", analogues.DAYS)
+    return rows.select(F.col("date").cast("string").alias("day"), "instrument_name", "price", "trade_id", "kind", "strike", "option_type")
+
+
 @registered
 def required_columns_hold(spark, sf_dir):
     rows = facts.trade_rows(analogues.trade_events(spark, sf_dir))
@@ -389,10 +433,10 @@ def json_scalars(spark, sf_dir):
     return parsed.select(
         "event_id",
         json_values.response_id("item").alias("response_id"),
-        json_values.scalar_text("item.s", "doc").alias("as_text"),
+        json_values.scalar_text("item.s", "doc", "$.s").alias("as_text"),
         F.col("item.i").alias("as_integer"),
         F.col("item.b").alias("as_boolean"),
-        json_values.scalar_text("item.n.p", "doc").alias("nested_text"),
+        json_values.scalar_text("item.n.p", "doc", "$.n.p").alias("nested_text"),
     )
 
 
@@ -529,6 +573,47 @@ def stream_route_land(spark, sf_dir):
     return raw_capture.count_by_feed(raw_capture.read_landed_events(spark, root))
 
 
+@registered
+def landed_batch_stream_batch(spark, sf_dir):
+    """The same messages landed three times below one root: by a batch, a stream, and a batch again."""
+    root, checkpoint = scratch_dir(spark, "landed"), scratch_dir(spark, "landed-state")
+    messages = _replayed(events_table(spark, sf_dir))
+    capture(messages, root, F.col("ts"), gather=True)
+    streamed = analogues.received_messages(_event_stream(spark, sf_dir))
+    for _ in range(2):  # the second run finds nothing new
+        _run(jobs.route_and_land(streamed, root, checkpoint, F.col("ts"), available_now=True))
+    capture(messages, root, F.col("ts"), gather=True)
+    return raw_capture.count_by_feed(raw_capture.read_landed_events(spark, root))
+
+
+@registered
+def history_batch_then_stream(spark, sf_dir):
+    """Trades of all pages, loaded by a batch and then met again by a stream of the same root."""
+    root, checkpoint = scratch_dir(spark, "trades"), scratch_dir(spark, "trades-state")
+    load_history(spark, _one_symbol_pages(spark, sf_dir), root, "tBTCUSD", start=0, end=HALF_WAY)
+    pages = _event_stream(spark, sf_dir).select(F.expr(analogues.PAGE).alias("page"))
+    _run(jobs.history_stream(pages, root, "tBTCUSD", checkpoint, available_now=True))
+    return history.read_history(spark, root, "tBTCUSD").drop("date")
+
+
+@registered
+def stream_terms_between_batches(spark, sf_dir):
+    """Ticker rows of two runs of one stream; the terms are stored only after the first."""
+    terms, path, state = (scratch_dir(spark, name) for name in ("late-terms", "rows", "rows-state"))
+    schema = schemas.INSTRUMENTS
+    spark.createDataFrame([], schema).write.parquet(terms)
+    landing = scratch_dir(spark, "late-events")
+    events = analogues.ticker_events(spark, sf_dir)
+    for day in analogues.DAYS:
+        events.where(F.col("date") == F.lit(day)).write.mode("append").parquet(landing)
+        source = spark.readStream.schema(events.schema).parquet(landing)
+        read_terms = lambda session: session.read.schema(schema).parquet(terms)
+        _run(jobs.normalize_stream(source, read_terms, "incremental_ticker", path, state, available_now=True))
+        in_schema_order(_terms(spark, sf_dir, keep=()), schema).write.mode("overwrite").parquet(terms)
+    rows = spark.read.schema(schemas.INCREMENTAL_TICKER).parquet(path)
+    return rows.groupBy("instrument_name").agg(F.count(F.lit(1)).alias("rows"), F.count("kind").alias("with_terms"))
+
+
 @registered
 def stream_first_seen(spark, sf_dir):
     path, checkpoint = scratch_dir(spark, "seen"), scratch_dir(spark, "seen-state")

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from tapeloom import schemas
 from tapeloom.operators.quality import check_checkpoint
 from tapeloom.operators.trades import last_trades_by_day, stored_form, with_date
+from tapeloom.session import materialize
 from tapeloom.sources.raw_capture import partition_name
 
 
@@ -60,6 +61,40 @@ def write_history(
     return metrics.get["rows"], metrics.get["newest"]
 
 
+def append_new_trades(spark: SparkSession, stored: DataFrame, root: str, symbol: str) -> int:
+    """Add the trades whose id their day does not hold yet; returns how many.
+
+    Nothing stored is rewritten, so an interrupted call loses nothing, and a repeated one adds only what the
+    first left out. Only the ids of the days that the new trades fall on are read.
+    """
+    new = materialize(spark, stored.select(*schemas.TRADES.names, "date"), "new-trades")
+    days = [row["date"] for row in new.select("date").distinct().collect()]  # one row per calendar day
+    if not days:
+        return 0
+    if path_exists(spark, history_path(root, symbol)):
+        held = read_history(spark, root, symbol).where(F.col("date").isin(*days)).select("date", "id")
+        new = new.join(held, ["date", "id"], "left_anti")
+    metrics = Observation()
+    ordered = (
+        new.select(*schemas.TRADES.names, "date")
+        .repartitionByRange("date", "mts", "id")
+        .sortWithinPartitions("date", "mts", "id")
+        .observe(metrics, F.count(F.lit(1)).alias("rows"))
+    )
+    ordered.write.mode("append").options(**schemas.PARQUET_OPTIONS).partitionBy("date").parquet(history_path(root, symbol))
+    return metrics.get["rows"]
+
+
+def stored_days(spark: SparkSession, root: str, symbol: str) -> list[dt.date]:
+    """Days that have a directory, ascending; no data is read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(history_path(root, symbol))
+    system = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not system.exists(path):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(path) if status.isDirectory()]
+    return sorted(dt.date.fromisoformat(name.removeprefix("date=")) for name in names if name.startswith("date="))
+
+
 def to_stored(trades: DataFrame) -> DataFrame:
     """Stored form and day of derived trades."""
     return with_date(stored_form(trades))
@@ -116,14 +151,12 @@ def last_completed_day(
     spark: SparkSession, root: str, symbol: str, first: dt.date, newest: dt.date
 ) -> tuple[dt.date, int, int] | None:
     """Newest stored day in [first, newest) with its last trade; `newest` itself may still grow."""
-    days = read_history(spark, root, symbol).where(
-        (F.col("date") >= F.lit(first)) & (F.col("date") < F.lit(newest))
-    )
-    newest_day = days.agg(F.max("date").alias("date")).first()["date"]
-    if newest_day is None:
-        return None
-    last = last_trades_by_day(days.where(F.col("date") == F.lit(newest_day)).drop("date")).first()
-    return newest_day, last["last_trade_mts"], last["last_trade_id"]
+    for day in reversed([day for day in stored_days(spark, root, symbol) if first <= day < newest]):
+        trades = read_history(spark, root, symbol).where(F.col("date") == F.lit(day)).drop("date")
+        last = last_trades_by_day(trades).first()
+        if last is not None:  # a directory may hold no rows
+            return day, last["last_trade_mts"], last["last_trade_id"]
+    return None
 
 
 def _ddl(schema) -> str:

@@ -37,7 +37,7 @@ class RawFile:
 def partition_name(symbol: str) -> str:
     """`functions.text.symbol_partition_name` for a single argument on the driver."""
     if not symbol:
-        raise ValueError("symbol cannot be empty after path normalization")
+        raise ValueError("a symbol needs at least one character")
     return re.sub(r"[^A-Za-z0-9_-]", "_", symbol).lower()
 
 
@@ -202,7 +202,7 @@ def read_landed_events(spark: SparkSession, root: str) -> DataFrame:
     The order is by time of receipt, then by file and by row within the file.
     """
     stored = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.ENVELOPE)
-    events = spark.read.schema(f"{stored}, date date").parquet(root)
+    events = spark.read.schema(f"{stored}, date date").parquet(root).drop("load")
     order = F.struct(
         "received_mts",
         F.col("_metadata.file_path").alias("file_path"),

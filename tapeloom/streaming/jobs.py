@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tapeloom import schemas
@@ -14,8 +14,9 @@ from tapeloom.operators.facts import ticker_rows, trade_rows
 from tapeloom.operators.instruments import discovered_instruments, newly_created_instruments
 from tapeloom.plans.capture import route_messages
 from tapeloom.plans.history_load import page_trades
-from tapeloom.sinks.events import append_event_stream, with_receipt_day
-from tapeloom.sinks.history import history_path, to_stored
+from tapeloom.operators.trades import unique_trades
+from tapeloom.sinks.events import append_event_stream, each_batch, replace_parts, with_receipt_day
+from tapeloom.sinks.history import append_new_trades, to_stored
 
 # Partial keys per instrument in the first step of the first-seen state.
 FIRST_SEEN_SALTS = 32
@@ -85,14 +86,25 @@ def enriched_stream(events: DataFrame, instruments: DataFrame, dataset: str) ->
 
 def normalize_stream(
     events: DataFrame,
-    instruments: DataFrame,
+    instruments: DataFrame | Callable[[SparkSession], DataFrame],
     dataset: str,
     path: str,
     checkpoint: str,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Append enriched rows per day of receipt."""
-    return _append(enriched_stream(events, instruments, dataset), path, checkpoint, available_now)
+    """Append enriched rows, per day of receipt and micro-batch.
+
+    A function as `instruments` is called for every micro-batch, so that instruments stored meanwhile give
+    their terms; a frame stays as it is when the stream starts. `path` belongs to streams alone, since the day
+    plan replaces whole days.
+    """
+
+    def write(batch: DataFrame, label: str) -> None:
+        terms = instruments(batch.sparkSession) if callable(instruments) else instruments
+        rows = enriched_stream(batch, terms, dataset)
+        replace_parts(rows.withColumn("load", F.lit(label)), path, ("date", "load"))
+
+    return each_batch(events, write, checkpoint, available_now)
 
 
 def history_stream(
@@ -100,31 +112,17 @@ def history_stream(
     root: str,
     symbol: str,
     checkpoint: str,
-    within: str | None = None,
     available_now: bool = False,
 ) -> StreamingQuery:
     """Trades of newly landed pages, each trade id once, appended per trade day.
 
-    The stream's checkpoint is the high-water mark: a page is read once. By default every id is
-    remembered; `within` (for example "2 days") forgets ids that far behind the newest trade,
-    which bounds the state for pages that only overlap at their edges.
+    The stream's checkpoint is the high-water mark: a page is read once. Which trades are new is told by the
+    ids their days hold on storage, so the stream keeps no state, a late trade is stored like any other, and
+    batch loads of the same root and the stream see each other's trades.
     """
-    trades = page_trades(pages, symbol)
-    if within is None:
-        unique = trades.dropDuplicates(["symbol", "id"])
-    else:
-        unique = trades.withWatermark("timestamp", within).dropDuplicatesWithinWatermark(["symbol", "id"])
-    return _append(to_stored(unique), history_path(root, symbol), checkpoint, available_now)
-
-
-def _append(df: DataFrame, path: str, checkpoint: str, available_now: bool) -> StreamingQuery:
-    writer = (
-        df.writeStream.format("parquet")
-        .outputMode("append")
-        .options(**schemas.PARQUET_OPTIONS)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("date")
-    )
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start(path)
+
+    def write(batch: DataFrame, label: str) -> None:
+        trades = unique_trades(page_trades(batch, symbol))
+        append_new_trades(batch.sparkSession, to_stored(trades), root, symbol)
+
+    return each_batch(pages, write, checkpoint, available_now)

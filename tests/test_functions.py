@@ -13,11 +13,11 @@ def values(spark, column, rows, schema):
 
 
 def test_symbol_partition_name(spark):
-    cases = {"tBTCUSD": "tbtcusd", "tBTC:F0:USTF0": "tbtc_f0_ustf0", "BTC/USDT-P": "btc_usdt-p", "É\U0001f600x_": "__x_"}
+    cases = {"SOLeur": "soleur", "a:B:c9": "a_b_c9", "X/y-Z": "x_y-z", "É\U0001f600x_": "__x_"}
     rows = [(k,) for k in cases]
     assert values(spark, text.symbol_partition_name(F.col("s")), rows, "s string") == list(cases.values())
     assert [partition_name(k) for k in cases] == list(cases.values())
-    with pytest.raises(Exception, match="cannot be empty"):
+    with pytest.raises(Exception, match="at least one character"):
         values(spark, text.symbol_partition_name(F.col("s")), [("",)], "s string")
     with pytest.raises(ValueError):
         partition_name("")
@@ -26,25 +26,39 @@ def test_symbol_partition_name(spark):
 def test_decimal_text(spark):
     from decimal import Decimal
 
-    cases = {"64883.10": "64883.1", "100": "100", "0.000": "0", "-0.00012155": "-0.00012155", "120.000": "120"}
+    cases = {"731.50": "731.5", "300": "300", "0.000": "0", "-0.00480": "-0.0048", "90.000": "90"}
     rows = [(Decimal(k),) for k in cases]
     assert values(spark, text.decimal_text(F.col("d")), rows, "d decimal(38,18)") == list(cases.values())
 
 
 def test_parse_mts(spark):
     cases = {
-        "2026-06-14T00:00:00Z": 1781395200000,
-        "1781395200000": 1781395200000,
-        "2026-06-14T02:00:00.5+02:00": 1781395200500,
-        "2026-06-13T22:30:00-01:30": 1781395200000,
+        "2025-03-01T06:00:00Z": 1740808800000,
+        "1740808800000": 1740808800000,
+        "2025-03-01T08:00:00.25+02:00": 1740808800250,
+        "2025-03-01T04:30:00-01:30": 1740808800000,
     }
     rows = [(k,) for k in cases]
     assert values(spark, text.parse_mts(F.col("s")), rows, "s string") == list(cases.values())
     for bad in ("-5", "2026-06-14", "2026-06-14T00:00:00", "x"):
-        with pytest.raises(Exception, match="expected Unix milliseconds"):
+        with pytest.raises(Exception, match="neither epoch milliseconds"):
             values(spark, text.parse_mts(F.col("s")), [(bad,)], "s string")
 
 
+def test_parse_decimal_rounds_nothing(spark):
+    cases = {
+        "0.12345678901234567890123": "0.12345678901234567890123", "-0.00000000000000000001": "-0.00000000000000000001",
+        "123456789012345678901234.50": "123456789012345678901234.5", "-0.0": "0", "+007": "7", ".5": "0.5", "5.": "5",
+        "1.5e3": "1500", "1e-3": "0.001", "-12.25E-1": "-1.225", "1000e-2": "10", "0e9": "0", "2E20": "2" + "0" * 20,
+        " 1 ": None, "": None, "1,5": None, "e5": None, "1e": None, "--1": None, "NaN": None, ".": None, "1e100": None,
+    }
+    got = values(spark, text.parse_decimal(F.col("s")), [(k,) for k in cases], "s string")
+    assert got == list(cases.values())
+    rows = [("-0.5",), ("0.5",), ("0",)]
+    assert values(spark, text.trade_side(F.col("s")), rows, "s string") == ["sell", "buy", "buy"]
+    assert values(spark, text.absolute_decimal(F.col("s")), rows, "s string") == ["0.5", "0.5", "0"]
+
+
 def test_parse_date_and_integer(spark):
     assert values(spark, text.parse_date(F.col("s")), [("2026-06-29",)], "s string") == [dt.date(2026, 6, 29)]
     with pytest.raises(Exception):
@@ -54,7 +68,7 @@ def test_parse_date_and_integer(spark):
 
 
 def test_instants_and_names(spark):
-    df = spark.createDataFrame([(1781472895818, "tbtcusd")], "mts bigint, s string")
+    df = spark.createDataFrame([(1740808801375, "soleur")], "mts bigint, s string")
     at = text.mts_to_timestamp(F.col("mts"))
     day = text.utc_date(at)
     [row] = collect(
@@ -68,12 +82,12 @@ def test_instants_and_names(spark):
         )
     )
     assert list(row.values()) == [
-        "2026-06-14T21:34:55.818Z",
-        "2026-06-14T21:34:55Z",
-        dt.date(2026, 6, 14),
-        "tbtcusd_26-06-14.parquet",
-        "tbtcusd_book_l25_26-06-14.jsonl.zst",
-        "btc_trades_26-06-14.parquet",
+        "2025-03-01T06:00:01.375Z",
+        "2025-03-01T06:00:01Z",
+        dt.date(2025, 3, 1),
+        "soleur_25-03-01.parquet",
+        "soleur_book_l25_25-03-01.jsonl.zst",
+        "btc_trades_25-03-01.parquet",
     ]
     assert raw_file_path("/r/", "trades", dt.date(2026, 6, 29), "deribit", "BTC") == (
         "/r/deribit/btc/trades/btc_trades_26-06-29.jsonl.zst"
@@ -95,7 +109,7 @@ def test_cursor(spark):
     got = values(spark, cursor.limit_remaining(F.col("a"), F.col("b")), rows, "a bigint, b bigint")
     assert got == [7, 0, None]
     assert values(spark, cursor.next_cursor(F.col("a"), F.col("b")), [(4, 4)], "a bigint, b bigint") == [5]
-    with pytest.raises(Exception, match="did not advance"):
+    with pytest.raises(Exception, match="would not start behind"):
         values(spark, cursor.next_cursor(F.col("a"), F.col("b")), [(3, 4)], "a bigint, b bigint")
 
 
@@ -106,9 +120,9 @@ def test_routing(spark):
     cases = {
         SUB % "instrument.creation.future.BTC": "instrument_creation",
         SUB % "instrument.state.option.BTC": "instrument_state",
-        SUB % "incremental_ticker.BTC-PERPETUAL": "incremental_ticker",
-        SUB % "trades.BTC-PERPETUAL.100ms": "trades",
-        '{"jsonrpc":"2.0","id":1}': "control",
+        SUB % "incremental_ticker.SOL_USDC": "incremental_ticker",
+        SUB % "trades.SOL_USDC.raw": "trades",
+        '{"id":77,"result":[]}': "control",
         SUB % "book.BTC": "control",
         '{"params":{"channel":5}}': "control",
         "not json": "control",
@@ -132,8 +146,8 @@ def test_channel_names(spark):
         "instrument.creation.option.BTC",
         "instrument.state.option.BTC",
     ]
-    [names] = values(spark, routing.instrument_channels(F.col("n")), [("BTC-PERPETUAL",)], "n string")
-    assert names == ["incremental_ticker.BTC-PERPETUAL", "trades.BTC-PERPETUAL.100ms"]
+    [names] = values(spark, routing.instrument_channels(F.col("n")), [("SOL_USDC",)], "n string")
+    assert names == ["incremental_ticker.SOL_USDC", "trades.SOL_USDC.100ms"]
     with pytest.raises(ValueError):
         routing.instrument_channels(F.col("n"), "1s")
 

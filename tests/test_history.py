@@ -10,8 +10,8 @@ from tapeloom.plans.history_load import load_history, page_trades, resolve_start
 from tapeloom.sinks import history
 from tapeloom.sources.trade_pages import bad_rows, good_rows, is_rate_limit_page, page_rows, read_pages
 
-ROW = '[1936324137,%d,"-0.00012155","64883"]'
-DAY_ONE, DAY_TWO = 1781452800000, 1781539200000
+ROW = '[4711,%d,"-0.0048","731.5"]'
+DAY_ONE, DAY_TWO = 1740852000000, 1740938400000
 
 
 def pages(spark, *texts):
@@ -27,11 +27,11 @@ def page(*rows):
 
 
 def test_trade_row_without_float_conversion(spark):
-    [row] = collect(t.stored_form(page_trades(pages(spark, page(ROW % 1781472895818)), "tBTCUSD")))
+    [row] = collect(t.stored_form(page_trades(pages(spark, page(ROW % 1740808801375)), "tSOLEUR")))
     assert row == {
-        "exchange": "bitfinex", "symbol": "tBTCUSD", "id": 1936324137, "mts": 1781472895818,
-        "timestamp": "2026-06-14T21:34:55.818Z", "side": "sell", "amount": "-0.00012155",
-        "amount_abs": "0.00012155", "price": "64883",
+        "exchange": "bitfinex", "symbol": "tSOLEUR", "id": 4711, "mts": 1740808801375,
+        "timestamp": "2025-03-01T06:00:01.375Z", "side": "sell", "amount": "-0.0048",
+        "amount_abs": "0.0048", "price": "731.5",
     }
 
 
@@ -102,20 +102,20 @@ def test_order_limit_and_recent_page(spark):
 
 def test_daily_files_and_checkpoint(spark, tmp_path):
     root = str(tmp_path)
-    landed = pages(spark, page(ROW % DAY_ONE), page((ROW % DAY_TWO).replace("1936324137", "1936324138")))
+    landed = pages(spark, page(ROW % DAY_ONE), page((ROW % DAY_TWO).replace("4711", "4712")))
     summary = load_history(spark, landed, root, start=DAY_ONE)
     assert summary.rows == 2
     stored = history.read_history(spark, root, "tBTCUSD")
     assert {(r["date"], r["count"]) for r in stored.groupBy("date").count().collect()} == {
-        (dt.date(2026, 6, 14), 1),
-        (dt.date(2026, 6, 15), 1),
+        (dt.date(2025, 3, 1), 1),
+        (dt.date(2025, 3, 2), 1),
     }
     checkpoint = history.load_checkpoint(spark, root, "tBTCUSD")
     assert checkpoint["symbol_partition"] == "tbtcusd"
-    assert checkpoint["last_completed_date"] == "2026-06-14"
+    assert checkpoint["last_completed_date"] == "2025-03-01"
     assert checkpoint["last_trade_mts"] == DAY_ONE
     assert checkpoint["next_start_mts"] == DAY_ONE + 1
-    assert (tmp_path / "tbtcusd" / "date=2026-06-14").exists()
+    assert (tmp_path / "tbtcusd" / "date=2025-03-01").exists()
 
 
 def test_resume_rewrites_open_days_and_keeps_completed_ones(spark, tmp_path):
@@ -129,7 +129,7 @@ def test_resume_rewrites_open_days_and_keeps_completed_ones(spark, tmp_path):
         load_history(spark, later, root, symbol="tX")
         stored = history.read_history(spark, root, "tX")
         assert sorted(r["id"] for r in stored.collect()) == [1, 2, 3, 4, 5]
-    assert history.load_checkpoint(spark, root, "tX")["last_completed_date"] == "2026-06-14"
+    assert history.load_checkpoint(spark, root, "tX")["last_completed_date"] == "2025-03-01"
     third = pages(spark, page(trade_row(6, DAY_TWO + 86_400_000)))
     summary = load_history(spark, third, root, symbol="tX")
     assert summary.checkpoint is not None
@@ -158,11 +158,11 @@ def test_max_trades_counts_over_all_pages(spark, tmp_path):
 
 
 def test_resolve_start():
-    checkpoint = {"next_start_mts": 1781452800001}
-    assert resolve_start(None, checkpoint) == 1781452800001
-    assert resolve_start(1700000000000, checkpoint) == 1781452800001
-    assert resolve_start(1900000000000, checkpoint) == 1900000000000
-    assert resolve_start(42, None) == 42
+    checkpoint = {"next_start_mts": 500}
+    assert resolve_start(None, checkpoint) == 500
+    assert resolve_start(499, checkpoint) == 500
+    assert resolve_start(501, checkpoint) == 501
+    assert resolve_start(3, None) == 3
     assert resolve_start(None, None) is None
 
 
@@ -175,6 +175,8 @@ def test_checkpoint_checks():
     for change in ({"version": 2}, {"exchange": "x"}, {"symbol": "y"}, {"symbol_partition": "y"}, {"next_start_mts": 1}):
         with pytest.raises(ValueError):
             check_checkpoint({**good, **change}, "tX", "tx")
+    with pytest.raises(ValueError, match="version is 2, not 1; exchange is 'x'.*next start"):
+        check_checkpoint({**good, "version": 2, "exchange": "x", "next_start_mts": 0}, "tX", "tx")
     assert check_cursor(2, 1) == 2
     with pytest.raises(ValueError):
         check_cursor(1, 1)
@@ -185,7 +187,7 @@ def test_saved_checkpoint_of_another_symbol_is_refused(spark, tmp_path):
     history.save_checkpoint(spark, root, "tX", dt.date(2026, 6, 14), 5, 1)
     history.save_checkpoint(spark, root, "tX", dt.date(2026, 6, 15), 9, 2)
     assert history.load_checkpoint(spark, root, "tX")["next_start_mts"] == 10
-    with pytest.raises(ValueError, match="symbol mismatch"):
+    with pytest.raises(ValueError, match="symbol is 'tX', not 'TX'"):
         history.load_checkpoint(spark, root, "TX")
 
 

@@ -18,22 +18,51 @@ NUMBERS = {
 OTHERS = {
     "null": None, "true": "true", "false": "false", '"s"': "s", '""': "", '"1.0E-7"': "1.0E-7",
     '"18446744073709551616"': "18446744073709551616", '"{x"': "{x", '"[1]"': "[1]", "[1]": None,
-    '{"a":"b"}': None, '"{\\"a\\":\\"b\\"}"': '{"a":"b"}', '"60000.0"': "60000.0",
+    '{"a":"b"}': None, '"[\\u0041]"': "[A]", '"[a\\nb]"': "[a\nb]", '"{a\\/b}"': "{a/b}", '"{\\"a\\":\\"b\\"}"': '{"a":"b"}', '"60000.0"': "60000.0",
 }
 
 
 def scalar_texts(spark, literals):
     docs = [(i, '{"v":%s}' % literal) for i, literal in enumerate(literals)]
     parsed = j.parse_json_column(spark.createDataFrame(docs, "i int, doc string"), "doc", "v string, w string", "p")
-    source = parsed.withColumn("source", j.scalar_source("doc"))
-    rows = source.select("i", j.scalar_text("p.v", "doc").alias("a"), j.scalar_text("p.v", "source").alias("b")).collect()
-    return {literals[r["i"]]: (r["a"], r["b"]) for r in rows}
+    rows = parsed.select("i", j.scalar_text("p.v", "doc", "$.x.v", "$.v").alias("text")).collect()
+    return {literals[r["i"]]: r["text"] for r in rows}
 
 
 def test_scalar_text(spark):
     expected = {**NUMBERS, **OTHERS}
     got = scalar_texts(spark, list(expected))
-    assert got == {literal: (text, text) for literal, text in expected.items()}
+    assert got == expected
+
+
+@pytest.mark.parametrize(
+    ("payload", "good"),
+    [
+        ('{"jsonrpc":"2.0","params":{"data":[{"price":1}]}}', True),
+        ('{"jsonrpc":"2.0","params":{"data":[{"price":nope}]}}', False),
+        ('{"jsonrpc":"2.0"} junk', False),
+        ('{"jsonrpc":"2.0"} {"b":1}', False),
+        ('{"jsonrpc":"2.0"},{"b":1}', False),
+        ('{"jsonrpc":"2.0","params":', False),
+        ('{"id":"text","params":7}', True),
+        (' {"a":1} ', True),
+        ("5", True),
+        ("null", True),
+        ("[1,2]", True),
+        ("", False),
+        ("],[", False),
+        ('{"a":1}] junk', False),
+        ('{"a":1},{}] junk', False),
+        ("1],[2", False),
+    ],
+)
+def test_a_payload_is_judged_whole(spark, payload, good):
+    events = events_frame(spark, [("c", payload)])
+    checked = j.parse_messages(events, on_bad="keep").select(j.payload_is_json().alias("good")).collect()
+    assert [r["good"] for r in checked] == [good]
+    if not good:
+        with pytest.raises(Exception, match="invalid JSON"):
+            j.parse_messages(events).collect()
 
 
 def test_integers_and_booleans_keep_their_json_type(spark):

@@ -92,7 +92,11 @@ def test_message_limit_per_feed(spark, tmp_path):
 def test_writes_by_channel(spark, tmp_path):
     events = events_frame(spark, [("a", "{}"), ("b", "{}"), ("b", "{}"), ("c", "{}")])
     roots = {"a": str(tmp_path / "a"), "b": str(tmp_path / "b")}
-    sink.append_by_channel(events, roots)
+    with pytest.raises(ValueError, match="channels c"):
+        sink.append_by_channel(events, roots)
+    assert not os.path.exists(roots["a"])
+    sink.append_by_channel(events, roots, rest=str(tmp_path / "rest"))
+    assert [r["channel"] for r in raw.read_landed_events(spark, str(tmp_path / "rest")).collect()] == ["c"]
     assert raw.read_landed_events(spark, roots["b"]).count() == 2
     assert collect(sink.lost_channels(events, roots)) == [{"channel": "c", "messages": 1}]
 
