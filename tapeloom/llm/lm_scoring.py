@@ -83,7 +83,8 @@ def _count_block(order: int, ranges: int):
         counts[np.searchsorted(known, seen)] = times
         cuts = [np.searchsorted(known, np.uint64(_TOP * r // ranges)) for r in range(ranges)] + [len(known)]
         block = table.column("block")[0].as_py()
-        rows = [(r, a, b) for r, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
+        # Empty ranges are sent, too: each answer carries its range's share of the token and type counts.
+        rows = [(r, a, b) for r, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
         return pa.table(
             {
                 "part": pa.array([r for r, _, _ in rows], pa.int32()),
@@ -207,9 +208,7 @@ def _score_block(order: int, prior: float):
         edges, grams, depth = _grams(docs.column("text"), order)
         answers = answers.sort_by("part")
         totals = np.concatenate([unpack_planes(x.as_buffer(), np.uint64) for x in answers.column("totals")])
-        parts = np.unique(answers.column("part").to_numpy(), return_index=True)[1]
-        tokens = int(answers.column("tokens").to_numpy()[parts].sum())
-        types = int(answers.column("types").to_numpy()[parts].sum())
+        tokens, types = (int(answers.column(c).to_numpy().sum()) for c in ("tokens", "types"))
         machine = _Automaton(edges, grams, depth, _distinct(grams, depth), totals, tokens, types, prior)
         inside = depth > 0
         owner = np.repeat(np.arange(docs.num_rows), np.diff(edges))[inside]
