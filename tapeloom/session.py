@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -31,6 +32,19 @@ def build_session(app_name: str = "tapeloom", master: str | None = None, **extra
     return builder.getOrCreate()
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Let the Python workers of later queries import this package from where the driver has it.
+
+    Serves installations whose path all machines share, and local sessions; elsewhere ship the package with
+    `--py-files`.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = [path for path in environment.get("PYTHONPATH", "").split(os.pathsep) if path]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the one the cluster names in `spark.checkpoint.dir`.
 
