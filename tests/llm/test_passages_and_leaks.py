@@ -27,7 +27,7 @@ def test_planted_passages_are_found_and_clean_texts_left_alone(spark):
         kind = i % 6
         if kind < 3:
             at = rng.randrange(100)
-            fuzzy = edited(rng, passages[i % 4], 5 if kind == 2 else 0)
+            fuzzy = edited(rng, passages[i % 4], 3 if kind == 2 else 0)
             body[at:at] = fuzzy
             holders[i] = (at, at + len(fuzzy))
         elif kind == 3:
