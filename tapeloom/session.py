@@ -19,6 +19,8 @@ SESSION_SETTINGS = {
     # The JVM never compiles methods over 8000 bytes. Stages whose generated code is larger, such
     # as the wide ticker projection, then use Spark's split projections, which it does compile.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Whole texts go to Python workers: some megabytes at a time, not ten thousand rows of any length.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
@@ -32,10 +34,10 @@ def build_session(app_name: str = "tapeloom", master: str | None = None, **extra
     return builder.getOrCreate()
 
 
-def let_workers_import(spark: SparkSession) -> None:
-    """Let the Python workers of later queries import this package from where the driver has it.
+def prepare(spark: SparkSession) -> SparkSession:
+    """Give a session made elsewhere the settings above, and let its Python workers import this package.
 
-    Serves installations whose path all machines share, and local sessions; elsewhere ship the package with
+    The import path of the driver serves installations whose path all machines share, and local sessions; elsewhere ship the package with
     `--py-files`.
     """
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -43,6 +45,9 @@ def let_workers_import(spark: SparkSession) -> None:
     paths = [path for path in environment.get("PYTHONPATH", "").split(os.pathsep) if path]
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    for key, value in SESSION_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
