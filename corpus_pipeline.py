@@ -11,14 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeloom.llm import decontamination, minhash_dedup, mixing, sharding, toxicity
-from tapeloom.session import let_workers_import, scratch_dir
+from tapeloom.session import prepare, scratch_dir
 
 ORACLE_SQL = None
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model, learned from `labels`, does not predict to be toxic."""
-    let_workers_import(spark)
+    prepare(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.learn(spark, docs, labels)
     return toxicity.score_texts(docs, model).filter("predicted = 0").select(*docs.columns)
@@ -26,13 +26,13 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
-    let_workers_import(spark)
+    prepare(spark)
     return minhash_dedup.drop_near_duplicates(spark, docs, shingle_words=5, percent=80)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, re-parameterised ones included."""
-    let_workers_import(spark)
+    prepare(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontamination.mark_leaks(spark, docs, benchmark).filter("not leaked").select(*docs.columns)
 
@@ -47,7 +47,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their shard of 8 and their place in it."""
-    let_workers_import(spark)
+    prepare(spark)
     return sharding.shard_documents(docs, shards=8)
 
 

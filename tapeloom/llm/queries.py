@@ -37,7 +37,7 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents by a model of the labels that aren't held out."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").filter(~toxicity.held_out())
     scored = toxicity.score_texts(docs, toxicity.learn(spark, docs, labels))
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapeloom.llm.boosting import BoostedTrees, Isotonic
 from tapeloom.llm.tokens import PIECE_BYTES, hash_words, mix, seeds, span_hasher, text_bytes
@@ -299,20 +300,18 @@ def learn(
 
 def score_texts(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """`docs` (`text`, others) with `score` and `predicted`."""
+    docs = docs.drop("score", "predicted").withColumn("text", F.col("text").cast("string"))
 
-    @F.pandas_udf("double")
-    def score(texts):
-        return _series(model.scores(pa.Array.from_pandas(texts, type=pa.large_string())))
-
-    return docs.withColumn("score", score(F.col("text").cast("string"))).withColumn(
-        "predicted", (F.col("score") >= 0.5).cast("int")
-    )
-
-
-def _series(values: np.ndarray):
-    import pandas as pd
+    def score(batches):
+        for batch in batches:
+            scores = model.scores(batch.column("text"))
+            predicted = (scores >= 0.5).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(scores), pa.array(predicted)], names=[*batch.schema.names, "score", "predicted"]
+            )
 
-    return pd.Series(values)
+    added = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
+    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, *added]))
 
 
 def held_out(doc_id: str = "doc_id", folds: int = 5) -> Column:
