@@ -109,8 +109,8 @@ def read_raw_lines(
     A compressed file is read by one task, so `line_no`, taken right after the scan, grows with
     the line order of each file. `cut_tails` names files (or "all") whose incomplete compressed
     tail ends the file quietly with the whole lines before it kept; other files fail on it.
-    `spread` distributes the lines for parsing; by default only when there are too few files to
-    keep the cluster busy and they are large enough to be worth a shuffle.
+    `spread` distributes the lines for parsing; by default only when they are large enough to be worth a
+    shuffle and there are fewer files than cores, or one holds over twice a core's share of all bytes.
     """
     if not files:
         return spark.createDataFrame([], LINE_COLUMNS)
@@ -130,7 +130,8 @@ def read_raw_lines(
     total = sum(f.size for f in files)
     cores = spark.sparkContext.defaultParallelism
     if spread is None:
-        spread = len(files) < cores and total > SPREAD_FROM_BYTES
+        uneven = max(f.size for f in files) > 2 * total / cores
+        spread = total > SPREAD_FROM_BYTES and (len(files) < cores or uneven)
     if spread:
         tasks = max(cores, -(-total // SPREAD_TASK_BYTES))
         chunk = F.floor(F.col("line_no") / SPREAD_CHUNK_LINES)
