@@ -144,4 +144,33 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
-ORACLES: dict[str, str] = {"op6_chat_format": _OP6}
+# All pairs of documents that share a shingle, and what links reach.
+_OP7 = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) > 1 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])
+        WHEN len(w) = 1 THEN w ELSE [] END) AS shingle
+    FROM words
+), sizes AS (
+    SELECT doc_id, count(shingle) AS n_shingles FROM documents LEFT JOIN shingles USING (doc_id) GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * n >= 80 * (x.n_shingles + y.n_shingles - n)
+), both_ways AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+    SELECT doc_id, doc_id AS root FROM sizes
+    UNION
+    SELECT l.b, r.root FROM reach r JOIN both_ways l ON l.a = r.doc_id WHERE r.root < l.b
+)
+SELECT doc_id, n_shingles, min(root) AS component_id, doc_id = min(root) AS kept
+FROM reach JOIN sizes USING (doc_id) GROUP BY doc_id, n_shingles
+"""
+
+ORACLES: dict[str, str] = {"op6_chat_format": _OP6, "op7_minhash_dedup": _OP7}

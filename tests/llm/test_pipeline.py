@@ -39,10 +39,12 @@ def test_stages_take_empty_tables(spark, tmp_path):
 
 
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="needs the driver's test tables")
-def test_chat_digests_match_their_oracle(spark):
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_queries_match_their_oracles(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{SMALL}/conversations.parquet'")
-    expected = con.execute(queries.ORACLES["op6_chat_format"]).fetchall()
+    for table in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
+    expected = con.execute(queries.ORACLES[name]).fetchall()
     names = [d[0] for d in con.description]
-    got = queries.op6_chat_format(spark, SMALL).select(*names).collect()
+    got = queries.REGISTERED[name](spark, SMALL).select(*names).collect()
     assert sorted(map(tuple, got)) == sorted(expected)
