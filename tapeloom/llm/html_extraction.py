@@ -6,7 +6,10 @@
    elements on average, a share bounds the templates of a host (mean elements / SHARE).
 2. A page is read again: template subtrees are deleted, and so is what its markup names as not being the
    article: menus, headers and footers of the page, sidebars, notices, adverts, forms, scripts, styles,
-   reader comments.
+   reader comments. A class or id names a part if it is such a name or ends in one (`site-footer`,
+   `sidebar-left`), not if the name only stands somewhere in it (`has-sidebar`, `form-text`). Names never
+   drop `html`, `body`, `main` or `article` (but for comments set as articles), a part that holds more than half
+   of the page's text, or the part with the title of a named article.
 3. Of what is left, the text is taken from the article: the outermost `article` or `main` elements if the page
    has any, or else its body. Template deletion spares the text blocks (paragraphs, headings, lists, tables)
    of a named article and whatever holds more than half of its text: copies of an article on one host are
@@ -22,6 +25,7 @@ gathered. Empty table: empty result.
 
 from __future__ import annotations
 
+import functools
 import html
 import re
 
@@ -69,6 +73,18 @@ DROPPED_NAMES = frozenset(
     " notices popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended"
     " recommendations comment comments respond disqus replies reply form search pagination pager toolbar".split()
 )
+# Reader comments are none of the page's own text, however long: these names drop any element but html, body and main.
+COMMENT_NAMES = frozenset("comment comments respond disqus reply replies".split())
+# Parts of a name that follow its role, and first parts of names that tell a state of the page instead.
+TRAILING = frozenset(
+    "area bar block body bottom box btn button buttons card cards col column container content group holder icon icons"
+    " inner item items left link links list module outer panel post posts primary right row secondary section slot"
+    " stories top unit widget wrap wrapper zone".split()
+)
+STATES = frozenset("has have no non not with without is are show hide hidden js".split())
+HEADERS = frozenset("header masthead".split())
+OF_ARTICLE = frozenset("article entry post story title headline".split())
+UNNAMED = frozenset("html body main".split())
 # What ends an open paragraph, and what ends before a sibling of its own kind.
 _CLOSES_P = BLOCKS - frozenset("html body td th tr tbody thead tfoot caption li dd dt".split())
 _PARAGRAPH, _NOT_PARAGRAPH = frozenset(["p"]), BLOCKS - {"p"}
@@ -88,15 +104,27 @@ _RAW_ENDS = {tag: re.compile(rf"</{tag}\s*/?>", re.IGNORECASE) for tag in RAW}
 
 
 class Element:
-    __slots__ = ("tag", "children", "dropped", "main", "key", "length")
+    __slots__ = ("tag", "children", "dropped", "main", "key", "length", "named")
 
-    def __init__(self, tag: str, dropped: bool = False, main: bool = False):
-        self.tag, self.dropped, self.main = tag, dropped, main
+    def __init__(self, tag: str, dropped: bool = False, main: bool = False, named: bool = False):
+        self.tag, self.dropped, self.main, self.named = tag, dropped, main, named
         self.children: list = []
         self.key, self.length = 0, 0
 
 
+@functools.lru_cache(maxsize=1 << 16)
+def role_of(name: str) -> tuple[str, bool]:
+    """What a class or id says its element is ("" if nothing that is dropped), and whether it is the article's."""
+    parts = _WORDS.findall(name)
+    if not parts or parts[0] in STATES:
+        return "", False
+    while len(parts) > 1 and parts[-1] not in DROPPED_NAMES and (parts[-1] in TRAILING or parts[-1].isdigit()):
+        parts.pop()
+    return (parts[-1] if parts[-1] in DROPPED_NAMES else ""), not OF_ARTICLE.isdisjoint(parts[:-1])
+
+
 def _described(tag: str, attributes: str, in_main: bool) -> Element:
+    named = False
     dropped, main = tag in DROPPED or (tag == "header" and not in_main), tag in MAIN
     for name, *values in _ATTRIBUTE.findall(attributes) if attributes and not attributes.isspace() else ():
         name, value = name.lower(), "".join(values).lower()
@@ -104,10 +132,14 @@ def _described(tag: str, attributes: str, in_main: bool) -> Element:
             dropped |= value in DROPPED_ROLES
             main |= value in MAIN_ROLES
         elif name in ("class", "id"):
-            dropped |= not DROPPED_NAMES.isdisjoint(_WORDS.findall(value))
+            for role, of_article in map(role_of, value.split()) if tag not in UNNAMED else ():
+                if role in COMMENT_NAMES:
+                    dropped = True
+                elif role:
+                    named |= not (role in HEADERS and (in_main or of_article))
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
             dropped = True
-    return Element(tag, dropped, main and not dropped)
+    return Element(tag, dropped, main and not dropped, named and not (dropped or main))
 
 
 def _open_depth(stack: list[Element], ended: frozenset, within: frozenset) -> int:
@@ -126,7 +158,7 @@ def parse(page: str) -> Element:
     """The tree of a page: elements and pieces of text as written. Missing end tags are supplied; what is inside
     dropped elements is not kept."""
     root = Element("#page")
-    stack, at, mains, dropped = [root], 0, 0, 0
+    stack, at, mains, dropped, named = [root], 0, 0, 0, False
 
     def close(depth: int) -> None:
         nonlocal mains, dropped
@@ -157,6 +189,7 @@ def parse(page: str) -> Element:
         element = _described(tag, match[3], mains > 0)
         if not dropped:
             stack[-1].children.append(element)
+            named |= element.named
         if tag in RAW:
             end = _RAW_ENDS[tag].search(page, at)
             at = end.end() if end else len(page)
@@ -166,9 +199,27 @@ def parse(page: str) -> Element:
             dropped += element.dropped
     if at < len(page) and not dropped:
         stack[-1].children.append(page[at:])
+    if named:
+        _drop_named(root)
     return root
 
 
+def _drop_named(root: Element) -> None:
+    """Drop the parts that are named as not being the article, unless they hold most of the text or its title."""
+    order = measure(root, keys=False)
+    titles = {id(e) for e in order if e.tag == "h1" and e.length}
+    for element in reversed(order):
+        if any(id(c) in titles for c in element.children):
+            titles.add(id(element))
+    pending = [(root, False)]
+    while pending:
+        element, in_main = pending.pop()
+        if element.named and 2 * element.length <= root.length and not (in_main and id(element) in titles):
+            element.dropped, element.children = True, []
+        in_main |= element.main
+        pending.extend((c, in_main) for c in element.children if isinstance(c, Element) and not c.dropped)
+
+
 def measure(root: Element, keys: bool = True) -> list[Element]:
     """Text lengths and, if asked for, hashes of all subtrees, bottom up; gives the elements that aren't dropped."""
     order, pending = [], [root]

@@ -31,6 +31,24 @@ def test_main_text_of_single_pages(page, text):
     assert extraction.extract(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<html class='no-banner'><body class='has-sidebar'><p>x</p></body>", "x"),
+        ("<body class='header-fixed modal'><p>x</p>", "x"),
+        ("<body id=search><main class='widget'><p>x</p></main>", "x"),
+        ("<div id='page' class='no-sidebar'><p>x</p></div>", "x"),
+        ("<div class='sidebar-left menu'>to</div><div class='sidebar'><p>most of the text</p></div>", "most of the text"),
+        ("<article class='post related-open'><p>x</p></article>", "x"),
+        ("<article class='post'><div class='entry-header'><h1>T</h1></div><p>x</p><p class='form-text'>y</p></article>", "T\n\nx\n\ny"),
+        ("<article><div class='banner'><h1>T</h1></div><p>in the text</p><div class='related-posts'>no</div></article>", "T\n\nin the text"),
+        ("<div class='site-header'>no</div><div class='ad-300'>no</div><p>all the text</p><ul class='comment-list'><li>" + "c" * 99 + "</ul>", "all the text"),
+    ],
+)
+def test_names_drop_parts_not_pages(page, text):
+    assert extraction.extract(page) == text
+
+
 def site(n, host="a.example"):
     """Pages without any helpful names: the same bars around texts of their own."""
     bar = "<div><div>Home</div><div>News of the house</div></div>"
