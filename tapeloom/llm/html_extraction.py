@@ -1,9 +1,9 @@
 """Main text of web pages by removal of site templates.
 
 1. A page is read into a tree of elements. Every element's subtree (its tags and words) is hashed; the hashes
-   are counted per host, once per page, with map-side combine. Subtrees that recur on `PAGES` pages of a
-   host and on at least `SHARE` of them are that host's template. Since a page has a bounded number of
-   elements on average, a share bounds the templates of a host (mean elements / SHARE).
+   are counted per host, once for each different content (the article if the page names one, or else all of
+   it), so that copies of a page count once. Subtrees that recur on `PAGES` of them are that host's template,
+   however large the host is.
 2. A page is read again: template subtrees are deleted, and so is what its markup names as not being the
    article: menus, headers and footers of the page, sidebars, notices, adverts, forms, scripts, styles,
    reader comments. A class or id names a part if it is such a name or ends in one (`site-footer`,
@@ -20,7 +20,8 @@ newlines in page order. Unclosed and misnested tags, cut pages and plain text ar
 
 Null and empty pages have no text. Pages without a host in their url are one host. Null ids and repeated rows
 are rows like any other. Pages of a host with a third of all rows are counted by all tasks and never
-gathered. Empty table: empty result.
+gathered. Templates are sent to all tasks while every host has few; beyond that pages meet their own template
+subtrees in shuffles, so nothing bounds a template's size. Empty table: empty result.
 """
 
 from __future__ import annotations
@@ -36,8 +37,8 @@ from pyspark.sql import functions as F
 
 from tapeloom.session import materialize
 
-PAGES, SHARE = 8, 0.05
-HOSTS_BROADCAST = 20_000
+PAGES = 8
+HOSTS_BROADCAST, LIST_ROWS = 20_000, 2_000
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
@@ -293,56 +294,96 @@ def extract(page: str | None, template: frozenset | set = frozenset()) -> str:
 
 
 def _subtrees(batches):
-    """Keys (host and subtree) of each page's elements that have text, once per page."""
+    """Keys of each page's elements that have text, once per page, with its host, content and row."""
     for batch in batches:
-        hosts, keys = [], []
-        for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
+        columns = (batch.column(c).to_pylist() for c in ("host", "html", "row"))
+        hosts, rows, contents, keys = [], [], [], []
+        for host, page, row in zip(*columns, strict=True):
             if page:
-                found = {e.key for e in measure(parse(page))[1:] if e.length and e.tag in BLOCKS}
+                root = parse(page)
+                found = {e.key for e in measure(root)[1:] if e.length and e.tag in BLOCKS}
+                mains = [m.key for m in _mains(root) if m.length]
+                content = xxhash.xxh3_64_intdigest(repr(mains)) if mains else root.key
                 keys.extend(found)
                 hosts.extend([host] * len(found))
-        signed = [k - (1 << 64) if k >> 63 else k for k in keys]
-        yield pa.RecordBatch.from_pydict({"host": pa.array(hosts, pa.string()), "subtree": pa.array(signed, pa.int64())})
+                contents.extend([content] * len(found))
+                rows.extend([row] * len(found))
+        yield pa.RecordBatch.from_pydict(
+            {
+                "host": pa.array(hosts, pa.string()),
+                "row": pa.array(rows, pa.int64()),
+                "content": pa.array(map(_signed, contents), pa.int64()),
+                "subtree": pa.array(map(_signed, keys), pa.int64()),
+            }
+        )
+
+
+def _signed(key: int) -> int:
+    return key - (1 << 64) if key >> 63 else key
 
 
 def host_of(url):
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
-def site_templates(spark: SparkSession, pages: DataFrame, least_pages: int = PAGES, share: float = SHARE) -> DataFrame:
-    """`host`, `template` (hashes of its template subtrees) of the hosts that have any."""
-    hosted = pages.select(host_of(F.col("url")).alias("host"), F.col("html").cast("string").alias("html"))
-    sizes = hosted.groupBy("host").agg(F.count("*").alias("pages")).filter(F.col("pages") >= least_pages)
-    counted = hosted.mapInArrow(_subtrees, "host string, subtree bigint").groupBy("host", "subtree").agg(F.count("*").alias("n"))
-    recurring = counted.filter(F.col("n") >= least_pages).join(sizes, "host").filter(F.col("n") >= share * F.col("pages"))
-    return materialize(spark, recurring.groupBy("host").agg(F.collect_list("subtree").alias("template")), "templates")
+def _hosted(pages: DataFrame) -> DataFrame:
+    """Pages with `host` and `row`, which equal pages of a host share."""
+    rows = pages.select(
+        F.col("page_id").cast("long").alias("page_id"),
+        F.col("url").cast("string").alias("url"),
+        F.col("html").cast("string").alias("html"),
+        host_of(F.col("url")).alias("host"),
+    )
+    return rows.withColumn("row", F.xxhash64("host", "html"))
+
+
+def _page_subtrees(pages: DataFrame) -> DataFrame:
+    return _hosted(pages).select("host", "html", "row").mapInArrow(
+        _subtrees, "host string, row bigint, content bigint, subtree bigint"
+    )
+
+
+def site_templates(spark: SparkSession, pages: DataFrame, least_pages: int = PAGES) -> DataFrame:
+    """`host`, `subtree` (hash) of all template subtrees, a row for each."""
+    contents = _page_subtrees(pages).select("host", "subtree", "content").distinct()
+    recurring = contents.groupBy("host", "subtree").agg(F.count("*").alias("n")).filter(F.col("n") >= least_pages)
+    return materialize(spark, recurring.select("host", "subtree"), "templates")
+
+
+def _page_templates(spark: SparkSession, pages: DataFrame, templates: DataFrame) -> DataFrame:
+    """`row`, `template` (the template subtrees it holds) of the pages that hold any."""
+    found = _page_subtrees(pages).select("host", "subtree", "row").join(templates, ["host", "subtree"])
+    return materialize(spark, found.groupBy("row").agg(F.collect_set("subtree").alias("template")), "page-templates")
 
 
 def _texts(batches):
     for batch in batches:
         texts, sets = [], {}
-        columns = (batch.column(c).to_pylist() for c in ("html", "host", "template"))
-        for page, host, template in zip(*columns, strict=True):
-            if host not in sets:
-                sets[host] = frozenset(k & ((1 << 64) - 1) for k in template or ())
-            texts.append(extract(page, sets[host]))
-        kept = [n for n in batch.schema.names if n not in ("html", "host", "template")]
+        columns = (batch.column(c).to_pylist() for c in ("html", "of", "template"))
+        for page, of, template in zip(*columns, strict=True):
+            if of not in sets:
+                sets[of] = frozenset(k & ((1 << 64) - 1) for k in template or ())
+            texts.append(extract(page, sets[of]))
+        kept = [n for n in batch.schema.names if n not in ("html", "of", "template")]
         yield pa.RecordBatch.from_pydict({n: batch.column(n) for n in kept} | {"text": pa.array(texts, pa.string())})
 
 
 def main_texts(
-    spark: SparkSession, pages: DataFrame, *, least_pages: int = PAGES, share: float = SHARE
+    spark: SparkSession, pages: DataFrame, *, least_pages: int = PAGES, list_rows: int = LIST_ROWS
 ) -> DataFrame:
-    """`page_id`, `url`, `text`, `n_chars` of each row of `pages` (`page_id`, `url`, `html`)."""
-    templates = site_templates(spark, pages, least_pages, share)
-    few = templates.limit(HOSTS_BROADCAST + 1).count() <= HOSTS_BROADCAST
-    rows = pages.select(
-        F.col("page_id").cast("long").alias("page_id"),
-        F.col("url").cast("string").alias("url"),
-        F.col("html").cast("string").alias("html"),
-        host_of(F.col("url")).alias("host"),
-    )
-    with_template = rows.join(F.broadcast(templates) if few else templates, "host", "left")
+    """`page_id`, `url`, `text`, `n_chars` of each row of `pages` (`page_id`, `url`, `html`).
+
+    `list_rows`: templates of more subtrees are not sent to all tasks; the result is the same.
+    """
+    templates = site_templates(spark, pages, least_pages)
+    sizes = templates.groupBy("host").agg(F.count("*").alias("n")).agg(F.count("*").alias("hosts"), F.max("n").alias("most")).first()
+    rows = _hosted(pages)
+    if sizes.hosts <= HOSTS_BROADCAST and (sizes.most or 0) <= list_rows:
+        lists = F.broadcast(templates.groupBy("host").agg(F.collect_list("subtree").alias("template")))
+        with_template = rows.join(lists, "host", "left").withColumnRenamed("host", "of").drop("row")
+    else:
+        lists = _page_templates(spark, pages, templates)
+        with_template = rows.join(lists, "row", "left").withColumnRenamed("row", "of").drop("host")
     return with_template.mapInArrow(_texts, "page_id bigint, url string, text string").withColumn(
         "n_chars", F.char_length("text").cast("long")
     )

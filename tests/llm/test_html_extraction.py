@@ -64,6 +64,22 @@ def test_recurring_subtrees_of_a_host_are_removed(spark):
     assert all(r.n_chars == len(r.text) for r in got.values())
 
 
+@pytest.mark.parametrize("list_rows", [0, extraction.LIST_ROWS])
+def test_templates_do_not_depend_on_the_size_of_the_host(spark, list_rows):
+    rows = site(600)
+    for i in range(10, 30):  # on 20 of 600 pages
+        rows[i] = (*rows[i][:2], rows[i][2].replace("<div><p>Story", "<div>A word from our friends</div><div><p>Story"), *rows[i][3:])
+    docs = spark.createDataFrame(rows, PAGES).repartition(3)
+    got = {r.page_id: r.text for r in extraction.main_texts(spark, docs, list_rows=list_rows).collect()}
+    assert got == {i: f"Story {i} is told\n\nand ends {i}" for i in range(600)}
+
+
+def test_copies_of_an_unnamed_page_are_no_template(spark):
+    rows = site(400) + [(1000 + i, f"http://a.example/c{i}", "<body><div><p>Told again</p><p>and again</p></div></body>", 1, "x") for i in range(30)]
+    got = {r.page_id: r.text for r in extraction.main_texts(spark, spark.createDataFrame(rows, PAGES)).collect()}
+    assert got[1005] == "Told again\n\nand again" and got[7] == "Story 7 is told\n\nand ends 7"
+
+
 def test_copies_of_an_article_are_no_template(spark):
     page = "<body><div>bar</div><article><h1>One</h1><p>the same words</p><div><p>Follow us</p></div></article>"
     other = "<body><div>bar</div><article><p>other words {} here</p><div><p>Follow us</p></div></article>"
