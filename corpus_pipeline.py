@@ -8,7 +8,6 @@ All stages but the last return the columns of `documents`. No stage can be writt
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tapeloom.llm import decontamination, minhash_dedup, mixing, sharding, toxicity
 from tapeloom.session import prepare, scratch_dir
@@ -38,11 +37,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The copies that the mix takes; the copy that fills a source's target is cut to the words left."""
-    copies = mixing.mixed_documents(mixing.mix_plan(spark, docs))
-    if "n_chars" in docs.columns:
-        copies = copies.withColumn("n_chars", F.when(F.col("words") < F.col("size"), F.char_length("text")).otherwise(F.col("n_chars")))
-    return copies.select(*docs.columns)
+    """The copies that the mix takes, each whole: the last of a source where that is nearer to its target."""
+    return mixing.whole_documents(mixing.mix_plan(spark, docs)).select(*docs.columns)
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -202,6 +202,17 @@ def mixed_documents(plan: DataFrame) -> DataFrame:
     return copies.withColumn("text", cut)
 
 
+def whole_documents(plan: DataFrame) -> DataFrame:
+    """A row for each copy that `plan` takes, its text whole, with `copy`, `words`, `shard`.
+
+    The copy that fills a source's target is there if that brings the source nearer to it than leaving it out.
+    """
+    copies = plan.withColumn("mix_copy", F.explode("placements")).select(
+        *plan.drop("placements", "taken", "copy", "words", "shard").columns, "mix_copy.*"
+    )
+    return copies.filter("2 * words >= size").withColumn("words", F.col("size"))
+
+
 def local_order(spark: SparkSession, mixed: DataFrame, *, buckets: int = 256, seed: int = 21) -> DataFrame:
     """`mixed` with `slot`: the place of each copy in its shard's permuted order, without gaps from 0."""
     hashed = mixed.withColumn(

@@ -5,7 +5,7 @@ import pytest
 
 import cases
 import corpus_pipeline
-from tapeloom.llm import queries
+from tapeloom.llm import mixing, queries
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -31,6 +31,17 @@ def test_stages_take_effect_on_their_input(spark, tmp_path):
     assert sorted((r.doc_id for r in final.collect()), key=str) == sorted(seen["sharding"], key=str)
 
 
+def test_the_mix_keeps_texts_whole(spark, tmp_path):
+    rows = [(i, " ".join(f"{source}{i}" for _ in range(30 + i * 37 % 400)), "en", source, 7) for i in range(30) for source in ("a", "b", "c")]
+    docs = spark.createDataFrame([(3 * k, *r[1:]) for k, r in enumerate(rows)], cases.DOCS)
+    text = {r.doc_id: r.text for r in docs.collect()}
+    target, at = {r.source: r.target for r in mixing.mix_plan(spark, docs).collect()}, {}
+    for r in corpus_pipeline.mixed(spark, docs, str(tmp_path)).collect():
+        assert r.text == text[r.doc_id] and r.n_chars == 7
+        at[r.source] = at.get(r.source, 0) + len(cases.words(r.text))
+    assert all(abs(at[s] - target[s]) <= 430 / 2 + 1 for s in "abc")
+
+
 def test_stages_take_empty_tables(spark, tmp_path):
     cases.empty_docs(spark).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
