@@ -94,6 +94,22 @@ def test_leaks_and_exchanged_values(spark):
     assert got[0].items == [7] and not got[0].reparameterised and got[1].reparameterised
 
 
+def leaked(spark, item, *texts):
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], cases.DOCS)
+    items = spark.createDataFrame([(7, item, 1)], BENCHMARK)
+    return [r.leaked for r in decontamination.mark_leaks(spark, docs, items).orderBy("doc_id").collect()]
+
+
+def test_one_changed_value_does_not_hide_a_leak(spark):
+    apart = "she bought 2 apples at the old market and waited there for 2 hours until the rain was over"
+    assert leaked(spark, apart, apart.replace("2 hours", "5 hours"), apart.replace("2", "3"), "she bought 2 apples") == [True, True, False]
+    rng = random.Random(3)
+    words = ["x", "Maria", *prose(rng, 30), "Maria", *prose(rng, 30), "Maria", *prose(rng, 30)]
+    changed = [*words]
+    changed[32] = "Olga"
+    assert leaked(spark, " ".join(words), " ".join(changed), " ".join(prose(rng, 90))) == [True, False]
+
+
 def brute_template(text):
     import pyarrow as pa
 
