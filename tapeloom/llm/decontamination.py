@@ -10,8 +10,10 @@ most frequent name of each count, if they are four fifths of the alignment's win
 A document is leaked if alignments hold `RUN` windows of an item (13 words), or four fifths of the
 windows of a shorter one; it is re-parameterised if values were exchanged.
 
-Only windows with `LITERALS` words that aren't placeholders are evidence; items with fewer literals cannot
-be found. A bit filter of fixed size, built from all benchmark windows, thins out the document windows
+A template's windows are evidence if they have `LITERALS` words that aren't placeholders. Every text is read in
+three ways, each judged for itself: names inside sentences only; capitalised words that open a sentence as names
+too; and windows with fewer literals as their plain lower-cased words, so that number-heavy items are found where
+they are copied. Items of fewer than `LITERALS` words cannot be found. A bit filter of fixed size, built from all benchmark windows, thins out the document windows
 before the join; it loses none and only saves work. The benchmark's windows are broadcast while few, and
 joined by a shuffle beyond.
 
@@ -148,7 +150,7 @@ def _emit(lengths: list[int], keys: list[str], fields, bits: np.ndarray | None):
                 found = []
                 with np.errstate(over="ignore"):
                     inside, opening = (templates(data[part[0] : part[-1]], part - part[0], o) for o in (False, True))
-                    for reading, read in ((INSIDE, inside),):
+                    for reading, read in ((INSIDE, inside), (OPENING, opening), (PLAIN, inside)):
                         found += [(reading, *read[1:], *w) for w in windows(*read, lengths, reading)]
                 for reading, values, edges, length, hashes, at, text in found:
                     if bits is not None:

@@ -110,6 +110,13 @@ def test_one_changed_value_does_not_hide_a_leak(spark):
     assert leaked(spark, " ".join(words), " ".join(changed), " ".join(prose(rng, 90))) == [True, False]
 
 
+def test_names_that_open_sentences_and_items_full_of_numbers(spark):
+    short = "Maria has many red apples. Maria gives most of them away. Maria eats the rest at home."
+    assert leaked(spark, short, short, short.replace("Maria", "Olga"), short.replace("Maria", "He")) == [True, True, True]
+    numbers = "sum of 3 5 7 9 11 13 15 and 17 19 21 23 25 is"
+    assert leaked(spark, numbers, f"so the {numbers} what", numbers.replace("7", "8").replace("21", "20"), "sum of 3 5 7") == [True, False, False]
+
+
 def brute_template(text):
     import pyarrow as pa
 
