@@ -16,6 +16,7 @@ from tapeloom.llm import (
     minhash_dedup,
     mixing,
     sharding,
+    spelling_variants,
     substring_dedup,
     toxicity,
 )
@@ -112,6 +113,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the words one edit away and the frequent form they vary."""
+    return spelling_variants.spelling_variants(spark, table(spark, sf_dir, "documents"))
+
+
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_toxicity": op2_toxicity,
@@ -123,6 +129,7 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_decontamination": op9_decontamination,
     "op10_sharding": op10_sharding,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 # Turns as the template writes them: the role and the text are escaped, 13 more characters frame them.
