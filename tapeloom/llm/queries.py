@@ -15,6 +15,7 @@ from tapeloom.llm import (
     lm_scoring,
     minhash_dedup,
     mixing,
+    prefix_trie,
     sharding,
     spelling_variants,
     substring_dedup,
@@ -113,6 +114,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of all conversations, each with the first turns of the first one of its twenty."""
+    turns = prefix_trie.sequences(table(spark, sf_dir, "conversations"))
+    donor = F.col("conv_id") - F.col("conv_id") % 20
+    given = prefix_trie.rebuilt(turns, donor, fold("conv_id", 4), most=3)
+    return prefix_trie.prefix_trie(spark, given)
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents with the words one edit away and the frequent form they vary."""
     return spelling_variants.spelling_variants(spark, table(spark, sf_dir, "documents"))
@@ -129,6 +138,7 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_decontamination": op9_decontamination,
     "op10_sharding": op10_sharding,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
@@ -180,4 +190,46 @@ SELECT doc_id, n_shingles, min(root) AS component_id, doc_id = min(root) AS kept
 FROM reach JOIN sizes USING (doc_id) GROUP BY doc_id, n_shingles
 """
 
-ORACLES: dict[str, str] = {"op6_chat_format": _OP6, "op7_minhash_dedup": _OP7}
+# CRC-32 bit by bit over the digits of the id; every prefix of every conversation as its turns' digests.
+_OP11 = r"""
+WITH turns AS (
+    SELECT conv_id, turn, md5(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS key,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+    FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+    SELECT conv_id, list({'key': key, 'words': words} ORDER BY turn NULLS FIRST, key) AS said FROM turns GROUP BY conv_id
+), folds AS (
+    SELECT conv_id, said, xor(list_reduce(list_concat([4294967295::BIGINT],
+        list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+        lambda sum, byte: list_reduce(list_concat([xor(sum, byte)], range(8)),
+            lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 4 AS h
+    FROM own
+), rebuilt AS (
+    SELECT f.conv_id, list_concat(coalesce(d.said[1:h], []), f.said[h + 1:]) AS said
+    FROM folds f LEFT JOIN own d ON d.conv_id = f.conv_id - f.conv_id % 20
+), prefixes AS (
+    SELECT conv_id, len(said) = depth AS ends, depth, array_to_string(list_transform(said[1:depth], lambda t: t.key), ',') AS path,
+        CASE WHEN depth > 0 THEN said[depth].words ELSE 0 END AS words
+    FROM (SELECT *, unnest(range(len(said) + 1)) AS depth FROM rebuilt)
+), members AS (
+    SELECT *, min(conv_id) OVER (PARTITION BY depth, path) AS node FROM prefixes
+), linked AS (
+    SELECT m.*, p.node AS parent FROM members m LEFT JOIN members p ON p.conv_id = m.conv_id AND p.depth = m.depth - 1
+), nodes AS (
+    SELECT node, depth, any_value(parent) AS parent, count(*) AS n_convs, any_value(words) AS words,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM linked GROUP BY node, depth
+), children AS (
+    SELECT parent AS node, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL
+), described AS (
+    SELECT n.*, coalesce(c.n, 0) AS n_children FROM nodes n LEFT JOIN children c USING (node, depth)
+), below AS (
+    SELECT m.node, m.depth, sum(CASE WHEN n.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n.n_convs - 1) * n.words) AS saved
+    FROM described n JOIN members m ON m.conv_id = n.node AND m.depth <= n.depth GROUP BY ALL
+)
+SELECT node AS conv_id, depth, parent AS parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+    CAST(saved AS BIGINT) AS saved_tokens, ends_sha256
+FROM described JOIN below USING (node, depth)
+"""
+
+ORACLES: dict[str, str] = {"op6_chat_format": _OP6, "op7_minhash_dedup": _OP7, "op11_prefix_trie": _OP11}
