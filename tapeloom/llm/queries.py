@@ -16,6 +16,7 @@ from tapeloom.llm import (
     minhash_dedup,
     mixing,
     prefix_trie,
+    set_join,
     sharding,
     spelling_variants,
     substring_dedup,
@@ -122,6 +123,11 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(spark, given)
 
 
+def op12_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose sets of three-word n-grams reach a similarity of 0.9."""
+    return set_join.similar_sets(spark, table(spark, sf_dir, "documents"), shingle_words=3, percent=90)
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents with the words one edit away and the frequent form they vary."""
     return spelling_variants.spelling_variants(spark, table(spark, sf_dir, "documents"))
@@ -139,6 +145,7 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_sharding": op10_sharding,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_set_join": op12_set_join,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
@@ -232,4 +239,32 @@ SELECT node AS conv_id, depth, parent AS parent_conv_id, n_convs, n_children, CA
 FROM described JOIN below USING (node, depth)
 """
 
-ORACLES: dict[str, str] = {"op6_chat_format": _OP6, "op7_minhash_dedup": _OP7, "op11_prefix_trie": _OP11}
+# As above, with three-word shingles and a similarity of 0.9.
+_OP12 = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) > 2 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle
+    FROM words
+), sizes AS (
+    SELECT doc_id, count(shingle) AS n_shingles FROM documents LEFT JOIN shingles USING (doc_id) GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * n >= 90 * (x.n_shingles + y.n_shingles - n)
+), both_ways AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+    SELECT doc_id, doc_id AS root FROM sizes
+    UNION
+    SELECT l.b, r.root FROM reach r JOIN both_ways l ON l.a = r.doc_id WHERE r.root < l.b
+)
+SELECT doc_id, n_shingles, min(root) AS component_id FROM reach JOIN sizes USING (doc_id) GROUP BY doc_id, n_shingles
+"""
+
+ORACLES: dict[str, str] = {"op6_chat_format": _OP6, "op7_minhash_dedup": _OP7, "op11_prefix_trie": _OP11, "op12_set_join": _OP12}
