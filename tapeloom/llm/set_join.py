@@ -8,8 +8,9 @@
    its subsets of c elements, hashed together with (s, t); all sets under one key are linked, so a key needs two stars, the
    smallest class of either size, and no comparison at all.
 4. Large classes: if two sets reach the threshold they share one of the first s - ceil(p s) + 1 elements of their order.
-   Each set enters the inverted lists of these elements and scans them: every list member meets the list's center, the
-   class that has the most company over all its lists.
+   Each set enters the inverted lists of these elements, with the number of its elements from there on (`rest`): what
+   two sets share first bounds what they share at all, so in that list both rests reach c(s, t). A set scans its lists:
+   every member meets the list's center, the class that has the most company over all its lists.
 5. The boundary between small and large is where the subsets, counted over the size histogram, and the list entries to
    scan, counted on the lists themselves, are fewest together; a size is never enumerated beyond `SMALL_MOST`.
 6. Pairs whose sizes, or whose parity sketches (which bound the difference of two sets for certain), rule the threshold
@@ -237,12 +238,18 @@ def _left_possible(pairs: DataFrame, described: DataFrame, percent: int) -> Data
     )
 
 
+def _far_enough_ahead(a: str, b: str, percent: int) -> Column:
+    """Whether this can be the first element that two list members at the threshold share."""
+    sizes = F.col(f"{a}.n_shingles") + F.col(f"{b}.n_shingles")
+    return F.least(f"{a}.rest", f"{b}.rest") * (100 + percent) >= sizes * percent
+
+
 def _pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("left"), F.greatest(a, b).alias("right")]
 
 
 def _across(members: DataFrame, percent: int) -> DataFrame:
-    """`left`, `right`: pairs of members of one list (`token`, `class`, `n_shingles`, `root`) across components.
+    """`left`, `right`: pairs of members of one list (`token`, `class`, `n_shingles`, `rest`, `root`) across components.
 
     Members outside the list's largest component meet all others; lists are cut into square blocks.
     """
@@ -265,10 +272,8 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
     everyone = dealt(opened, "all_rows_blocks", "other_rows_blocks", 2, ("j", "i"))
     a, b = outside.alias("a"), everyone.alias("b")
     same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("token", "i", "j")]
-    near = (F.col("a.n_shingles") * 100 >= F.col("b.n_shingles") * percent) & (
-        F.col("b.n_shingles") * 100 >= F.col("a.n_shingles") * percent
-    )
-    met = a.join(b, same[0] & same[1] & same[2] & (F.col("a.root") != F.col("b.root")) & near)
+    once = (F.col("b.root") == F.col("b.main")) | (F.col("a.class") < F.col("b.class"))
+    met = a.join(b, same[0] & same[1] & same[2] & (F.col("a.root") != F.col("b.root")) & once & _far_enough_ahead("a", "b", percent))
     return met.select(*_pair("a.class", "b.class")).distinct()
 
 
@@ -294,7 +299,8 @@ def similar_sets(spark: SparkSession, docs: DataFrame, *, shingle_words: int = 5
         "classes",
     )
     prefix = F.slice("elements", F.lit(1), (F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1).cast("int"))
-    entries = classes.select(F.explode(prefix).alias("token"), "class", "n_shingles")
+    entries = classes.select(F.posexplode(prefix).alias("place", "token"), "class", "n_shingles")
+    entries = entries.select("token", "class", "n_shingles", (F.col("n_shingles") - F.col("place")).alias("rest"))
 
     # The boundary: subsets against list entries of the sizes that may be small.
     histogram = {r.n_shingles: r["count"] for r in classes.filter(F.col("n_shingles") <= SMALL_MOST).groupBy("n_shingles").count().collect()}
@@ -311,16 +317,18 @@ def similar_sets(spark: SparkSession, docs: DataFrame, *, shingle_words: int = 5
     in_list = F.count("*").over(Window.partitionBy("token")).alias("length")
     crowded = materialize(spark, listed.select("*", in_list).filter("length > 1"), "lists")
     company = crowded.groupBy("class").agg(F.sum("length").alias("company"))
-    heads = crowded.join(company, "class").groupBy("token").agg(F.max_by("class", F.struct("company", "class")).alias("head"))
+    first = F.max_by(F.struct("class", "n_shingles", "rest"), F.struct("company", "class")).alias("head")
+    heads = crowded.join(company, "class").groupBy("token").agg(first).select("token", "head.*")
     described = classes.select("class", "n_shingles", "parity")
-    pairs = crowded.join(heads, "token").filter("class <> head").select(*_pair("head", "class")).distinct()
+    met = crowded.alias("a").join(heads.alias("b"), "token").filter(_far_enough_ahead("a", "b", percent))
+    pairs = met.filter("a.class <> b.class").select(*_pair("a.class", "b.class")).distinct()
     pairs = materialize(spark, _left_possible(pairs, described, percent), "pairs")
     links = links.union(_confirmed(spark, docs, classes, pairs, shingle_words, percent))
     links = materialize(spark, links, "links")
     roots = connected(spark, links, "left", "right")
 
     rooted = crowded.filter("length > 2").join(roots.withColumnRenamed("node", "class"), "class", "left")
-    rooted = rooted.select("token", "class", "n_shingles", F.coalesce("root", "class").alias("root"))
+    rooted = rooted.select("token", "class", "n_shingles", "rest", F.coalesce("root", "class").alias("root"))
     other = _across(materialize(spark, rooted, "rooted"), percent)
     other = materialize(spark, _left_possible(other.join(pairs, ["left", "right"], "left_anti"), described, percent), "pairs")
     if other.limit(1).count():
