@@ -86,7 +86,7 @@ def recent_page(
     """The newest `limit` trades up to `end`, oldest first; then at most `max_trades` of them."""
     if not 1 <= limit <= schemas.MAX_PAGE_TRADES:
         raise ValueError(f"a page holds 1 to {schemas.MAX_PAGE_TRADES} trades, not {limit}")
-    page = in_time_range(trades, end=end).orderBy(F.desc("mts"), F.desc("id")).limit(limit)
+    page = first_rows(in_time_range(trades, end=end), ["mts", "id"], limit, descending=True)
     return sorted_trades(first_trades(page, max_trades))
 
 

@@ -160,3 +160,26 @@ def test_ticker_joined_to_terms(spark):
     got = {r["instrument_name"]: r for r in collect(enrichment.attach_terms(rows, terms))}
     assert got[NAME]["strike"] == "95000.0" and got[NAME]["settlement_period"] == "week"
     assert got["other"]["strike"] is None and got["other"]["mark_price"] == "0.0177"
+
+
+def test_only_heavy_keys_are_salted(spark, capsys):
+    """A shuffle join in which the terms of the heavy key alone are repeated, also for keys of two columns and null keys."""
+    names = [f"i{n}" for n in range(400)] + [None]
+    facts = [("hot", 1, n) for n in range(3_000)] + [(names[n % 401], 1, n) for n in range(1_200)]
+    terms = [(name, 1, f"kind of {name}") for name in ("hot", *names[:300])]
+    terms = spark.createDataFrame(terms, "instrument_name string, day int, kind string")
+    for name in schemas.TERM_COLUMNS:
+        if name != "kind":
+            terms = terms.withColumn(name, F.lit(None).cast("string"))
+    facts = spark.createDataFrame(facts, "instrument_name string, day int, line_no int").repartition(4)
+    keys = ["instrument_name", "day"]
+    assert enrichment.heavy_keys(facts, keys) == ["3:hot|1:1"]
+    joined = enrichment.attach_terms(facts, terms, keys, strategy="salted", salt_by=["line_no"])
+    joined.explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    expected = facts.join(terms, keys, "left").select(*joined.columns)
+    assert joined.exceptAll(expected).count() == 0 and joined.count() == facts.count() == 4_200
+    spread = enrichment.salted_left_join(facts, terms, keys, ["line_no"])
+    repeated = spread.select("instrument_name").where("instrument_name = 'hot'").count()
+    assert repeated == 3_000

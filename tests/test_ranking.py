@@ -1,5 +1,9 @@
 import random
+import re
 
+from pyspark.sql import functions as F
+
+from tapeloom.operators import ranking
 from tapeloom.operators.ranking import first_rows, first_rows_per_group, row_numbers
 
 
@@ -45,3 +49,29 @@ def test_small_limit_is_applied_before_the_shuffle(spark, capsys):
     _, df = skewed(spark)
     first_rows_per_group(df, ["g"], ["k", "v"], 30).explain()
     assert "WindowGroupLimit" in capsys.readouterr().out
+
+
+def test_limits_in_two_steps_and_by_sketches(spark, monkeypatch):
+    """A third of the rows are copies of one row and one value of `k` holds most rows: ties are exact, in both directions."""
+    rows, df = skewed(spark)
+    df = df.cache()
+    ordered = sorted((k, v) for _, k, v in rows)
+    for tree_rows, slack in ((10_000, 4), (0, 1), (0, 4)):
+        monkeypatch.setattr(ranking, "TREE_ROWS", tree_rows)
+        monkeypatch.setattr(ranking, "BOUND_SLACK", slack)
+        for limit in (1, 60, 250, 1_150, 5_000):
+            for descending, expected in ((False, ordered[:limit]), (True, ordered[-limit:])):
+                got = first_rows(df, ["k", "v"], limit, descending=descending).collect()
+                assert sorted((r["k"], r["v"]) for r in got) == expected, (tree_rows, slack, limit, descending)
+
+
+def test_no_task_gets_the_limit_of_every_partition(spark, capsys):
+    numbers = spark.range(0, 200_000, 1, 40).select(((F.col("id") * 7_919) % 200_003).alias("k"), "id")
+    top = first_rows(numbers, ["k", "id"], 2_000)
+    top.explain("extended")
+    # The top-k sorts the rows up to the bound of the plan: a small multiple of the limit, not 40 times 2,000 rows.
+    bound = int(re.search(r"<= (\d+)", capsys.readouterr().out).group(1))
+    assert 2_000 <= numbers.where(F.col("k") <= bound).count() <= ranking.BOUND_SLACK * 2_000
+    assert sorted(r["k"] for r in top.collect()) == sorted(r["k"] for r in numbers.orderBy("k").limit(2_000).collect())
+    first_rows(numbers, ["k", "id"], 1_000).explain()
+    assert "WindowGroupLimit" in capsys.readouterr().out
