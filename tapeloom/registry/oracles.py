@@ -289,6 +289,8 @@ FROM (SELECT *, CASE event_type WHEN 'click' THEN epoch_us(ts) // 1000000 * 1000
 SELECT id, mts, {decimal_text("amount")} AS amount FROM trades ORDER BY mts, id LIMIT 500""",
     "first_n_trades_by_rank": f"""WITH {TRADES}
 SELECT id, mts, {decimal_text("amount")} AS amount FROM trades ORDER BY mts, id LIMIT 5000""",
+    "first_n_trades_bounded": f"""WITH {TRADES}
+SELECT id, mts, {decimal_text("amount")} AS amount FROM trades ORDER BY mts, id LIMIT 2000""",
     "recent_page": f"""WITH {TRADES}, newest AS (SELECT * FROM trades ORDER BY mts DESC, id DESC LIMIT 1000)
 SELECT id, mts, {decimal_text("price")} AS price FROM newest ORDER BY mts, id LIMIT 300""",
     "daily_trade_counts": f"""WITH {TRADES}
@@ -410,5 +412,6 @@ FROM ticker_rows r LEFT JOIN terms t USING (instrument_name) GROUP BY 1""",
 SELECT instrument_name, unnest(['incremental_ticker.' || instrument_name, 'trades.' || instrument_name || '.100ms']) AS channel
 FROM (SELECT DISTINCT instrument_name FROM ({CREATED}))""",
     "stream_normalize": TICKER_ENRICHED,
+    "stream_late_terms": TICKER_ENRICHED,
     "stream_history": f"WITH {TRADES} SELECT {STORED_TRADES.format(symbol=repr('tBTCUSD'))} FROM trades",
 }

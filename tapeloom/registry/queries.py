@@ -229,6 +229,13 @@ def first_n_trades_by_rank(spark, sf_dir):
     return trades.stored_form(first).select("id", "mts", "amount")
 
 
+@registered
+def first_n_trades_bounded(spark, sf_dir):
+    """A limit that sketches of the trade times bound before anything is sorted."""
+    page = materialize(spark, trades.unique_trades(page_trades(_one_symbol_pages(spark, sf_dir), "tBTCUSD")), "unique")
+    return trades.stored_form(trades.first_trades(page, 2_000)).select("id", "mts", "amount")
+
+
 @registered
 def recent_page(spark, sf_dir):
     page = trades.unique_trades(page_trades(_one_symbol_pages(spark, sf_dir), "tBTCUSD"))
@@ -614,6 +621,24 @@ def stream_terms_between_batches(spark, sf_dir):
     return rows.groupBy("instrument_name").agg(F.count(F.lit(1)).alias("rows"), F.count("kind").alias("with_terms"))
 
 
+@registered
+def stream_late_terms(spark, sf_dir):
+    """Ticker rows of a stream that waited for terms stored after its first run, and of what never got any."""
+    terms, path, state, pending = (scratch_dir(spark, name) for name in ("late-terms", "rows", "rows-state", "pending"))
+    schema = schemas.INSTRUMENTS
+    spark.createDataFrame([], schema).write.parquet(terms)
+    landing = scratch_dir(spark, "late-events")
+    events = analogues.ticker_events(spark, sf_dir)
+    read_terms = lambda session: session.read.schema(schema).parquet(terms)
+    for day in analogues.DAYS:
+        events.where(F.col("date") == F.lit(day)).write.mode("append").parquet(landing)
+        source = spark.readStream.schema(events.schema).parquet(landing)
+        _run(jobs.normalize_stream(source, read_terms, "incremental_ticker", path, state, available_now=True, pending=pending))
+        in_schema_order(_terms(spark, sf_dir, keep=()), schema).write.mode("overwrite").parquet(terms)
+    jobs.finish_pending(events, read_terms(spark), "incremental_ticker", path, pending)
+    return in_schema_order(spark.read.schema(schemas.INCREMENTAL_TICKER).parquet(path), schemas.INCREMENTAL_TICKER)
+
+
 @registered
 def stream_first_seen(spark, sf_dir):
     path, checkpoint = scratch_dir(spark, "seen"), scratch_dir(spark, "seen-state")

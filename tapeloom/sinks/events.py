@@ -9,7 +9,7 @@ is named by its query and number, so a repeated one replaces itself, and readers
 
 from __future__ import annotations
 
-import hashlib
+import json
 import uuid
 from collections.abc import Callable, Iterable, Sequence
 
@@ -61,11 +61,17 @@ def each_batch(
     available_now: bool = False,
     interval: str = "1 minute",
 ) -> StreamingQuery:
-    """Run `write(rows, label)` on every micro-batch; the label is the same when a batch is repeated."""
-    query = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
-    writer = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda rows, number: write(rows, f"stream-{query}-{number}")
-    )
+    """Run `write(rows, label)` on every micro-batch; the label is the same when a batch is repeated.
+
+    The label names the query by the id that its checkpoint holds: a checkpoint that is lost and begun anew has another
+    id, so that its micro-batches, counted from 0 again, replace nothing.
+    """
+
+    def labelled(rows: DataFrame, number: int) -> None:
+        stored = rows.sparkSession.read.text(f"{checkpoint.rstrip('/')}/metadata").first()
+        write(rows, f"stream-{json.loads(stored['value'])['id']}-{number}")
+
+    writer = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(labelled)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return writer.trigger(**trigger).start()
 

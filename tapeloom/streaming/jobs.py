@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -17,6 +18,7 @@ from tapeloom.plans.history_load import page_trades
 from tapeloom.operators.trades import unique_trades
 from tapeloom.sinks.events import append_event_stream, each_batch, replace_parts, with_receipt_day
 from tapeloom.sinks.history import append_new_trades, to_stored
+from tapeloom.streaming.pending import forget, release, settle
 
 # Partial keys per instrument in the first step of the first-seen state.
 FIRST_SEEN_SALTS = 32
@@ -76,11 +78,17 @@ def subscriptions(
     return instruments.select("instrument_name", channels.alias("channel"))
 
 
+_FACTS = {"incremental_ticker": ticker_rows, "trades": trade_rows}
+
+
+def fact_stream(events: DataFrame, dataset: str) -> DataFrame:
+    """Ticker or trade rows of a stream of envelopes, without terms, with receipt day."""
+    return _FACTS[dataset](with_receipt_day(events), keep=["date"])
+
+
 def enriched_stream(events: DataFrame, instruments: DataFrame, dataset: str) -> DataFrame:
-    """Ticker or trade rows of a stream of envelopes, joined to stored terms, with receipt day."""
-    rows = {"incremental_ticker": ticker_rows, "trades": trade_rows}[dataset]
-    facts = rows(with_receipt_day(events), keep=["date"])
-    enriched = attach_terms(facts, instruments)
+    """The same joined to stored terms."""
+    enriched = attach_terms(fact_stream(events, dataset), instruments)
     return in_schema_order(enriched, schemas.DATASETS[dataset], keep=["date"])
 
 
@@ -91,22 +99,47 @@ def normalize_stream(
     path: str,
     checkpoint: str,
     available_now: bool = False,
+    pending: str | None = None,
+    give_up_ms: int | None = None,
 ) -> StreamingQuery:
     """Append enriched rows, per day of receipt and micro-batch.
 
     A function as `instruments` is called for every micro-batch, so that instruments stored meanwhile give
     their terms; a frame stays as it is when the stream starts. `path` belongs to streams alone, since the day
     plan replaces whole days.
+
+    With `pending`, a root of this stream's own, rows without terms wait there and are joined again with every
+    micro-batch until their terms are stored, or until they are `give_up_ms` older than the newest row. Call
+    `finish_pending` once no more terms will come: rows then equal those of the day plan.
     """
 
     def write(batch: DataFrame, label: str) -> None:
         terms = instruments(batch.sparkSession) if callable(instruments) else instruments
-        rows = enriched_stream(batch, terms, dataset)
-        replace_parts(rows.withColumn("load", F.lit(label)), path, ("date", "load"))
+        if pending is None:
+            rows = enriched_stream(batch, terms, dataset)
+        else:
+            rows = settle(fact_stream(batch, dataset), terms, pending, label, give_up_ms)
+        _store(rows, dataset, path, label)
 
     return each_batch(events, write, checkpoint, available_now)
 
 
+def _store(rows: DataFrame, dataset: str, path: str, label: str) -> None:
+    rows = in_schema_order(rows, schemas.DATASETS[dataset], keep=["date"])
+    replace_parts(rows.withColumn("load", F.lit(label)), path, ("date", "load"))
+
+
+def finish_pending(events: DataFrame, instruments: DataFrame, dataset: str, path: str, pending: str) -> None:
+    """Store the rows that still wait, with terms where they exist by now; `events` only tells the columns.
+
+    Call it while the stream is stopped. An interrupted call is repeated with the same outcome.
+    """
+    spark = events.sparkSession
+    rows = release(spark, pending, instruments, fact_stream(events, dataset).schema)
+    _store(rows, dataset, path, "last-" + hashlib.sha256(pending.encode()).hexdigest()[:12])
+    forget(spark, pending)
+
+
 def history_stream(
     pages: DataFrame,
     root: str,

@@ -1,14 +1,17 @@
 import json
+import shutil
 
 from conftest import CONTROL, NAME, TRADES, compress, collect, envelope
 from pyspark.sql import functions as F
 
+from tapeloom import schemas
 from tapeloom.operators.instruments import latest_instruments, listed_instruments
 from tapeloom.plans.capture import capture
 from tapeloom.plans.history_load import load_history
+from tapeloom.sinks.events import append_event_stream
 from tapeloom.sinks.history import read_history
 from tapeloom.sources.raw_capture import parse_envelopes, read_landed_events
-from tapeloom.streaming import jobs, sources
+from tapeloom.streaming import jobs, pending, sources
 from conftest import events_frame
 
 
@@ -112,3 +115,46 @@ def test_batches_and_streams_share_a_root_and_a_repeated_batch_replaces_itself(s
     stream = sources.message_stream(sources.line_stream(spark, str(landing)))
     jobs.route_and_land(stream, root, state, available_now=True).awaitTermination()
     assert stored() == 4
+
+
+def waiting_terms(spark, *names):
+    rows = [(name, f"kind of {name}") for name in names]
+    terms = spark.createDataFrame(rows, "instrument_name string, kind string")
+    for name in schemas.TERM_COLUMNS:
+        if name != "kind":
+            terms = terms.withColumn(name, F.lit(None).cast("string"))
+    return terms
+
+
+def test_facts_wait_for_their_terms_and_none_is_lost_or_doubled(spark, tmp_path):
+    root, schema = str(tmp_path / "pending"), "instrument_name string, received_mts bigint"
+
+    def run(number, rows, terms, **options):
+        got = pending.settle(spark.createDataFrame(rows, schema), terms, root, f"stream-a-b-{number}", **options).collect()
+        return sorted((r.instrument_name, r.received_mts, r.kind) for r in got)
+
+    none, some = waiting_terms(spark), waiting_terms(spark, "x")
+    assert run(0, [("x", 1), ("y", 2), ("y", 2)], none) == []
+    for _ in range(2):  # a repeated micro-batch gives the same again
+        assert run(1, [("x", 3), ("z", 9)], some) == [("x", 1, "kind of x"), ("x", 3, "kind of x")]
+    assert run(2, [], some) == []
+    assert run(4, [("x", 10)], some, give_up_ms=5) == [("x", 10, "kind of x"), ("y", 2, None), ("y", 2, None)]
+    # A stream with another checkpoint keeps rows of its own.
+    other = pending.settle(spark.createDataFrame([("y", 5)], schema), none, root, "stream-c-0")
+    assert other.count() == 0
+    late = pending.release(spark, root, waiting_terms(spark, "z"), spark.createDataFrame([], schema).schema).collect()
+    assert sorted((r.instrument_name, r.kind) for r in late) == [("y", None), ("z", "kind of z")]
+    pending.forget(spark, root)
+    assert pending.release(spark, root, none, spark.createDataFrame([], schema).schema).count() == 0
+
+
+def test_a_lost_checkpoint_replaces_no_loads(spark, tmp_path):
+    """Micro-batches of a new checkpoint at the same place count from 0 again, and their labels differ."""
+    landing, root, checkpoint = (str(tmp_path / name) for name in ("in", "out", "state"))
+    events_frame(spark, [("trades", "{}")]).write.parquet(landing)
+    for _ in range(2):
+        source = spark.readStream.schema(spark.read.parquet(landing).schema).parquet(landing)
+        append_event_stream(source, root, checkpoint, available_now=True).awaitTermination()
+        shutil.rmtree(checkpoint)
+    stored = spark.read.parquet(root)
+    assert stored.count() == 2 and stored.select("load").distinct().count() == 2
