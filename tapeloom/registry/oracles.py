@@ -231,6 +231,13 @@ def catalogue_values() -> str:
     return ", ".join(f"('{v}', '{e}', '{s}', '{c}', '{i}')" for v, e, s, c, i, _ in rows)
 
 
+# Messages of the derivatives venue: their channel, day and order.
+CAPTURED = """captured AS (
+  SELECT 'control' AS channel, CASE WHEN p_size < 25 THEN DATE '2026-06-29' ELSE DATE '2026-06-30' END AS day, p_partkey AS line_no FROM part
+  UNION ALL SELECT unnest(['instrument_creation', 'incremental_ticker']),
+    CASE WHEN event_type IN ('view', 'click') THEN DATE '2026-06-29' ELSE DATE '2026-06-30' END, event_id FROM events
+  UNION ALL SELECT 'trades', CASE WHEN l_linestatus = 'F' THEN DATE '2026-06-29' ELSE DATE '2026-06-30' END, l_orderkey FROM lineitem)"""
+
 ORACLES: dict[str, str] = {
     "envelope_build_parse": f"""
 SELECT {instant(MS)} AS received_at, {MS} AS received_mts, 'bitfinex' AS exchange, 't' || user_id AS symbol,
@@ -349,6 +356,20 @@ FROM trade_rows r LEFT JOIN terms t USING (day, instrument_name) GROUP BY ALL"""
     "normalized_trades": f"""WITH {terms(per_day=True)},{TRADE_ROWS}
 SELECT r.day, r.instrument_name, r.price, r.trade_id, t.kind, t.strike, t.option_type
 FROM trade_rows r LEFT JOIN terms t USING (day, instrument_name)""",
+    "capture_files_normalized": f"""WITH {terms(per_day=True)},{TRADE_ROWS}
+SELECT r.day, r.instrument_name, r.price, r.trade_id, t.kind, t.strike, t.option_type
+FROM trade_rows r LEFT JOIN terms t USING (day, instrument_name) WHERE r.day = '2026-06-30'""",
+    "capture_files_counts": f"""WITH {terms(per_day=True)},{TRADE_ROWS}
+SELECT 'instruments' AS dataset, '2026-06-30' AS day, count(*) AS rows FROM terms WHERE day = '2026-06-30'
+UNION ALL SELECT 'incremental_ticker', '2026-06-30', 0
+UNION ALL SELECT 'trades', '2026-06-30', count(*) FROM trade_rows WHERE day = '2026-06-30'""",
+    "capture_file_listing": f"""WITH {CAPTURED}
+SELECT DISTINCT 'deribit' AS exchange, 'btc' AS symbol, channel, concat('btc_', channel, '_', strftime(day, '%y-%m-%d'), '.jsonl.gz') AS file,
+  true AS has_bytes, true AS has_time FROM captured""",
+    "capture_file_heads": f"""WITH {CAPTURED}
+SELECT channel, received_mts, true AS has_payload FROM (
+  SELECT channel, epoch_ms(cast(day AS timestamp)) + line_no % 86400000 AS received_mts,
+    row_number() OVER (PARTITION BY channel, day ORDER BY line_no % 86400000) AS place FROM captured) WHERE place <= 3""",
     "required_columns_hold": f"""WITH {TRADE_ROWS}
 SELECT count_if(received_mts IS NULL) AS exchange, count_if(received_mts IS NULL) AS symbol,
   count_if(received_mts IS NULL) AS received_at, count_if(received_mts IS NULL) AS received_mts,
@@ -402,6 +423,11 @@ UNION ALL SELECT doc_id, 'none', NULL, NULL, NULL FROM labels""",
 SELECT event_id, 'spot_market_data' AS channel, {SPOT_TEXT} AS text FROM events""",
     "stream_route_land": f"""WITH {FRAMES}
 SELECT exchange, symbol, stored AS channel, count(*) AS messages FROM frames GROUP BY ALL""",
+    "stream_lines_land": f"""WITH {FRAMES}
+SELECT exchange, symbol, stored AS channel, count(*) AS messages FROM frames GROUP BY ALL""",
+    "landed_by_channel": f"""WITH {FRAMES}
+SELECT exchange, symbol, stored AS channel, count(*) AS messages,
+  CASE WHEN stored IN ('trades', 'control', 'incremental_ticker') THEN stored ELSE 'rest' END AS place FROM frames GROUP BY ALL""",
     "landed_batch_stream_batch": f"""WITH {FRAMES}
 SELECT exchange, symbol, stored AS channel, 3 * count(*) AS messages FROM frames GROUP BY ALL""",
     "history_batch_then_stream": f"WITH {TRADES} SELECT {STORED_TRADES.format(symbol=repr('tBTCUSD'))} FROM trades",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,9 +17,9 @@ from tapeloom.plans.normalize_day import normalize_days
 from tapeloom.registry import analogues
 from tapeloom.registry.analogues import events_table, table
 from tapeloom.session import materialize, scratch_dir
-from tapeloom.sinks import datasets, events as event_sink, history
+from tapeloom.sinks import capture_files, datasets, events as event_sink, history
 from tapeloom.sources import feeds, listing, raw_capture, trade_pages
-from tapeloom.streaming import jobs
+from tapeloom.streaming import jobs, sources as stream_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -391,6 +392,31 @@ def normalized_trades(spark, sf_dir):
     return rows.select(F.col("date").cast("string").alias("day"), "instrument_name", "price", "trade_id", "kind", "strike", "option_type")
 
 
+def _normalized_lines(spark: SparkSession, sf_dir: str):
+    """The second day normalized from capture files of both days, which lack the ticker channel."""
+    archive, root = scratch_dir(spark, "capture-files"), scratch_dir(spark, "normalized")
+    events = analogues.capture_events(spark, sf_dir).where("channel <> 'incremental_ticker'")
+    capture_files.write_capture_files(events, archive)
+    return root, normalize_days(spark, archive, root, analogues.DAYS[1:], layout="lines")
+
+
+@registered
+def capture_files_normalized(spark, sf_dir):
+    """Trade rows that the day plan stores from capture files."""
+    root, _ = _normalized_lines(spark, sf_dir)
+    rows = datasets.read_dataset(spark, root, "trades", analogues.DAYS[1:])
+    return rows.select(F.col("date").cast("string").alias("day"), "instrument_name", "price", "trade_id", "kind", "strike", "option_type")
+
+
+@registered
+def capture_files_counts(spark, sf_dir):
+    """Rows per dataset of a day whose ticker file is missing."""
+    _, summary = _normalized_lines(spark, sf_dir)
+    counts = {"instruments": summary.instruments, "incremental_ticker": summary.ticker_rows, "trades": summary.trade_rows}
+    rows = [(dataset, str(day), n) for dataset, by_day in counts.items() for day, n in by_day.items()]
+    return spark.createDataFrame(rows, "dataset string, day string, rows bigint")
+
+
 @registered
 def required_columns_hold(spark, sf_dir):
     rows = facts.trade_rows(analogues.trade_events(spark, sf_dir))
@@ -537,6 +563,34 @@ def file_heads(spark, sf_dir):
     return inspection.expand_payload_text(head).select("exchange", "channel", F.col("payload").cast("string").alias("payload"))
 
 
+@registered
+def capture_file_listing(spark, sf_dir):
+    """The newest capture files: places, names, and whether they have a size and a time."""
+    root = scratch_dir(spark, "capture-files")
+    capture_files.write_capture_files(analogues.capture_events(spark, sf_dir), root)
+    files = inspection.recent_files(listing.capture_files(spark, root))
+    return files.select(
+        "exchange",
+        "symbol",
+        "channel",
+        F.element_at(F.split("path", "/"), -1).alias("file"),
+        (F.col("size_mb") > 0).alias("has_bytes"),
+        (F.col("modified_at") > F.lit(dt.datetime(2020, 1, 1))).alias("has_time"),
+    )
+
+
+@registered
+def capture_file_heads(spark, sf_dir):
+    """The first three messages of each of the newest capture files."""
+    root = scratch_dir(spark, "capture-files")
+    capture_files.write_capture_files(analogues.capture_events(spark, sf_dir), root)
+    heads = None
+    for sample in inspection.recent_samples(spark, root, rows=3).values():
+        head = sample.select("channel", "received_mts", F.col("payload").isNotNull().alias("has_payload"))
+        heads = head if heads is None else heads.unionByName(head)
+    return heads
+
+
 @registered
 def payload_expand(spark, sf_dir):
     props = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.lit("props").alias("origin"), F.col("props").alias("payload_text"))
@@ -580,6 +634,32 @@ def stream_route_land(spark, sf_dir):
     return raw_capture.count_by_feed(raw_capture.read_landed_events(spark, root))
 
 
+@registered
+def stream_lines_land(spark, sf_dir):
+    """Messages as lines of a landing directory, streamed and landed."""
+    landing, root, state = (scratch_dir(spark, name) for name in ("lines", "landed", "landed-state"))
+    messages = _replayed(events_table(spark, sf_dir))
+    line = F.to_json(F.struct("exchange", "symbol", "channel", "connection_id", "text"))
+    messages.select(line.alias("value")).write.option("compression", "gzip").text(landing)
+    streamed = stream_sources.message_stream(stream_sources.line_stream(spark, landing))
+    _run(jobs.route_and_land(streamed, root, state, available_now=True))
+    return raw_capture.count_by_feed(raw_capture.read_landed_events(spark, root))
+
+
+@registered
+def landed_by_channel(spark, sf_dir):
+    """Envelopes below one root per channel, and those of the other channels below a last one."""
+    roots = {channel: scratch_dir(spark, f"landed-{channel}") for channel in ("trades", "control", "incremental_ticker")}
+    rest = scratch_dir(spark, "landed-rest")
+    envelopes = materialize(spark, route_messages(_replayed(events_table(spark, sf_dir)), F.col("ts")), "envelopes")
+    event_sink.append_by_channel(envelopes, roots, rest)
+    counted = None
+    for place, root in {**roots, "rest": rest}.items():
+        one = raw_capture.count_by_feed(raw_capture.read_landed_events(spark, root)).withColumn("place", F.lit(place))
+        counted = one if counted is None else counted.unionByName(one)
+    return counted
+
+
 @registered
 def landed_batch_stream_batch(spark, sf_dir):
     """The same messages landed three times below one root: by a batch, a stream, and a batch again."""

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tapeloom.functions.text import size_mib
 from tapeloom.sources.raw_capture import parse_envelopes
 
-CAPTURE_PATTERN = "*.jsonl.zst"
+CAPTURE_PATTERN = "*.{jsonl,jsonl.gz,jsonl.zst}"
 
 
 def capture_files(spark: SparkSession, root: str, pattern: str = CAPTURE_PATTERN) -> DataFrame:

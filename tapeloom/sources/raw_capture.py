@@ -1,6 +1,6 @@
 """Raw captures: compressed JSON lines, one envelope per line.
 
-Layout read: <root>/<exchange>/<symbol>/<channel>/<symbol>_<channel>_<yy-mm-dd>.jsonl.zst
+Layout read: <root>/<exchange>/<symbol>/<channel>/<symbol>_<channel>_<yy-mm-dd>.jsonl.zst, also .jsonl.gz and .jsonl
 """
 
 from __future__ import annotations
@@ -23,6 +23,9 @@ SPREAD_CHUNK_LINES = 5_000
 SPREAD_TASK_BYTES = 16 * 1024 * 1024
 SPREAD_FROM_BYTES = 4 * 1024 * 1024
 
+# As recorded, as `sinks.capture_files` writes them, and unpacked.
+SUFFIXES = (".jsonl.zst", ".jsonl.gz", ".jsonl")
+
 LINE_COLUMNS = "value string, line_no bigint, file_path string, date date"
 
 
@@ -41,9 +44,9 @@ def partition_name(symbol: str) -> str:
     return re.sub(r"[^A-Za-z0-9_-]", "_", symbol).lower()
 
 
-def raw_file_path(root: str, channel: str, day: dt.date, exchange: str, symbol: str) -> str:
+def raw_file_path(root: str, channel: str, day: dt.date, exchange: str, symbol: str, suffix: str = SUFFIXES[0]) -> str:
     exchange, symbol, channel = (partition_name(part) for part in (exchange, symbol, channel))
-    name = f"{symbol}_{channel}_{day:%y-%m-%d}.jsonl.zst"
+    name = f"{symbol}_{channel}_{day:%y-%m-%d}{suffix}"
     return f"{root.rstrip('/')}/{exchange}/{symbol}/{channel}/{name}"
 
 
@@ -55,20 +58,26 @@ def list_raw_files(
     exchange: str = schemas.DERIVATIVES_EXCHANGE,
     symbol: str = schemas.DERIVATIVES_SYMBOL,
 ) -> list[RawFile]:
-    """The existing files of the given channels and days; one directory listing per channel."""
+    """The existing files of the given channels and days; one directory listing per channel.
+
+    A day that has a channel in two forms is an error, since its lines would count twice.
+    """
     days = sorted(set(dates))
     found = []
     for channel in channels:
         wanted = {}
         for day in days:
-            path = raw_file_path(root, channel, day, exchange, symbol)
-            wanted[path.rsplit("/", 1)[1]] = (path, day)
+            for suffix in SUFFIXES:
+                path = raw_file_path(root, channel, day, exchange, symbol, suffix)
+                wanted[path.rsplit("/", 1)[1]] = (path, day)
         directory = path.rsplit("/", 1)[0] if days else None
         if directory is None:
             continue
         for name, size in _directory_files(spark, directory):
             if name in wanted:
                 path, day = wanted[name]
+                if any(file.channel == channel and file.date == day for file in found):
+                    raise ValueError(f"{channel} of {day} lies in several forms below {directory}")
                 found.append(RawFile(path, channel, day, size))
     return found
 

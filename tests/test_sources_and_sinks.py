@@ -12,6 +12,7 @@ from tapeloom.operators import inspection, quality
 from tapeloom.plans.capture import capture
 from tapeloom.session import materialize, scratch_dir, shared_dir
 from tapeloom.sinks import events as sink
+from tapeloom.sinks.capture_files import write_capture_files
 from tapeloom.sources import feeds, listing, raw_capture as raw
 
 AT = dt.datetime(2026, 6, 29, 23, 59, 59, 999000, tzinfo=dt.timezone.utc)
@@ -179,3 +180,21 @@ def test_scratch_is_the_configured_folder(spark):
     configured = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark) == configured and scratch_dir(spark, "x").startswith(configured)
     assert materialize(spark, spark.range(3).toDF("n"), "m").count() == 3
+
+
+def test_capture_files_are_written_in_order_and_replaced(spark, tmp_path):
+    root = str(tmp_path / "archive")
+    rows = [("trades", json.dumps({"n": n})) for n in range(50)] + [("control", "{}")]
+    events = events_frame(spark, rows).withColumn("symbol", F.lit("tBTC:F0"))
+    for _ in range(2):
+        paths = write_capture_files(events.repartition(5), root)
+        assert [p.removeprefix(root) for p in paths] == [
+            f"/deribit/tbtc_f0/{c}/tbtc_f0_{c}_26-06-29.jsonl.gz" for c in ("control", "trades")
+        ]
+    files = raw.list_raw_files(spark, root, [DAY], ["trades", "control"], symbol="tBTC:F0")
+    read = raw.read_raw_events(spark, files).where("channel = 'trades'").orderBy("line_no").collect()
+    assert [json.loads(r["payload_text"])["n"] for r in read] == list(range(50))
+    assert listing.capture_files(spark, root).count() == 2
+    (tmp_path / "archive/deribit/tbtc_f0/trades/tbtc_f0_trades_26-06-29.jsonl").write_text("{}\n")
+    with pytest.raises(ValueError, match="several forms"):
+        raw.list_raw_files(spark, root, [DAY], ["trades"], symbol="tBTC:F0")
