@@ -52,7 +52,7 @@ _WORDS = re.compile(r"[a-z0-9]+")
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset(
-    "script style template noscript svg math canvas iframe object embed head title nav aside footer form button select"
+    "script style template noscript svg canvas iframe object embed head title nav aside footer form button select"
     " textarea option dialog menu noembed noframes xmp input".split()
 )
 BLOCKS = frozenset(
@@ -74,7 +74,7 @@ DROPPED_NAMES = frozenset(
     " notices popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended"
     " recommendations comment comments respond disqus replies reply form search pagination pager toolbar".split()
 )
-# Reader comments are none of the page's own text, however long: these names drop any element but html, body and main.
+# Reader comments are none of the page's own text, however long: these names drop any element that names may drop.
 COMMENT_NAMES = frozenset("comment comments respond disqus reply replies".split())
 # Parts of a name that follow its role, and first parts of names that tell a state of the page instead.
 TRAILING = frozenset(
@@ -85,7 +85,11 @@ TRAILING = frozenset(
 STATES = frozenset("has have no non not with without is are show hide hidden js".split())
 HEADERS = frozenset("header masthead".split())
 OF_ARTICLE = frozenset("article entry post story title headline".split())
-UNNAMED = frozenset("html body main".split())
+# Names say nothing about the page itself, words in a sentence, cells of a table, and code: `token comment` is part of it.
+UNNAMED = frozenset(
+    "html body main a abbr b bdi bdo cite code data del dfn em font i ins kbd label mark math q rp rt ruby s samp small span"
+    " strong sub sup time tt u var pre table caption colgroup thead tbody tfoot tr td th".split()
+)
 # What ends an open paragraph, and what ends before a sibling of its own kind.
 _CLOSES_P = BLOCKS - frozenset("html body td th tr tbody thead tfoot caption li dd dt".split())
 _PARAGRAPH, _NOT_PARAGRAPH = frozenset(["p"]), BLOCKS - {"p"}

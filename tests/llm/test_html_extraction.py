@@ -95,3 +95,19 @@ def test_edge_rows(spark):
     assert sorted(r.n_chars for r in got) == [0, 0, 4, 4, 99_999]
     assert all(r.text is not None for r in got)
     assert extraction.main_texts(spark, spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_names_inside_the_text_drop_nothing(spark):
+    """Highlighted code, words of a sentence, table cells and formulas keep their text, whatever their classes say."""
+    html = (
+        "<body><div class='comments'><p>A reader's remark</p></div><article><p>She said <span class='reply'>yes, I do</span>"
+        " and <a class='share side' href='#'>went</a> for <math><mi>x</mi><mo>+</mo><mn>1</mn></math> days.</p>"
+        "<pre><code>run() <span class='token comment'># the note</span>\n<i class='hljs-comment'># more</i></code></pre>"
+        "<table class='form'><tr class='search'><td class='side'>buy</td><td id='banner'>12</td></tr></table>"
+        "</article><span class='nav'></span></body>"
+    )
+    pages = spark.createDataFrame([(1, "http://h/1", html)], "page_id bigint, url string, html string")
+    text = extraction.main_texts(spark, pages).first().text
+    for kept in ("She said yes, I do and went for", "x+1", "days.", "# the note", "# more", "buy", "12"):
+        assert kept in text, kept
+    assert "remark" not in text
