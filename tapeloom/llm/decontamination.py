@@ -12,8 +12,8 @@ windows of a shorter one; it is re-parameterised if values were exchanged.
 
 A template's windows are evidence if they have `LITERALS` words that aren't placeholders. Every text is read in
 three ways, each judged for itself: names inside sentences only; capitalised words that open a sentence as names
-too; and windows with fewer literals as their plain lower-cased words, so that number-heavy items are found where
-they are copied. Items of fewer than `LITERALS` words cannot be found. A bit filter of fixed size, built from all benchmark windows, thins out the document windows
+too; and all windows as their plain lower-cased words, so that copies in any letter case, and of number-heavy items, are
+found. Items of fewer than `LITERALS` words cannot be found. A bit filter of fixed size, built from all benchmark windows, thins out the document windows
 before the join; it loses none and only saves work. The benchmark's windows are broadcast while few, and
 joined by a shuffle beyond.
 
@@ -112,18 +112,16 @@ def templates(data: np.ndarray, bounds: np.ndarray, opening: bool = False) -> tu
 
 def windows(template: np.ndarray, values: np.ndarray, edges: np.ndarray, lengths: list[int], reading: int = INSIDE):
     """Per length: hash of each window that is evidence, its first word, and its text."""
-    plain = np.where(values == 0, template, values)
+    # The plain words, without what tells a slot's kind.
+    plain = np.where(values == 0, template, values) & ~np.uint64(3)
     literal = np.concatenate([[0], np.cumsum(values == 0)])
     for length in lengths:
         if len(template) < length:
             continue
         last = len(template) - length + 1
-        hashes = _window_hashes(template, length)
+        hashes = _window_hashes(plain if reading == PLAIN else template, length)
         text = np.searchsorted(edges, np.arange(last), "right") - 1
-        good = literal[length : length + last] - literal[:last] >= LITERALS
-        if reading == PLAIN:
-            hashes = np.where(good, hashes, _window_hashes(plain, length) ^ _STEP)
-            good[:] = True
+        good = (literal[length : length + last] - literal[:last] >= LITERALS) | (reading == PLAIN)
         good &= np.arange(last) + length <= edges[text + 1]
         at = np.flatnonzero(good)
         yield length, mix(hashes[at] + np.uint64(length + (reading << 8))), at, text[at]
@@ -151,7 +149,9 @@ def _emit(lengths: list[int], keys: list[str], fields, bits: np.ndarray | None):
                 with np.errstate(over="ignore"):
                     inside, opening = (templates(data[part[0] : part[-1]], part - part[0], o) for o in (False, True))
                     for reading, read in ((INSIDE, inside), (OPENING, opening), (PLAIN, inside)):
-                        found += [(reading, *read[1:], *w) for w in windows(*read, lengths, reading)]
+                        # Plain windows have no slots: what they match is equal.
+                        slots = np.zeros_like(read[1]) if reading == PLAIN else read[1]
+                        found += [(reading, slots, read[2], *w) for w in windows(*read, lengths, reading)]
                 for reading, values, edges, length, hashes, at, text in found:
                     if bits is not None:
                         place = (hashes % np.uint64(FILTER_BITS)).astype(np.int64)

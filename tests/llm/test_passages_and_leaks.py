@@ -74,7 +74,7 @@ def test_passages_of_edge_rows(spark):
 
 
 QUESTION = "Maria has 12 apples and gives 5 of them to Peter in the garden. How many apples does Maria have after 3 days?"
-# One name twice: a text that exchanges only one of them asks something else.
+# One name twice: a text that exchanges only one of them still holds 14 words as they are.
 TWICE = "we heard that Maria saw 7 birds near the mill and that Maria counted them for an hour"
 BENCHMARK = "item_id bigint, text string, items int"
 
@@ -88,7 +88,7 @@ def test_leaks_and_exchanged_values(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], cases.DOCS)
     items = spark.createDataFrame([(7, QUESTION, 1), (8, None, 1), (None, QUESTION, 1), (9, "", 1), (7, QUESTION, 1), (10, "too short", 1), (11, TWICE, 1)], BENCHMARK)
     got = {r.doc_id: r for r in decontamination.mark_leaks(spark, docs, items).collect()}
-    assert [got[i].leaked for i in range(6)] == [True, True, False, False, False, False]
+    assert [got[i].leaked for i in range(6)] == [True, True, True, False, True, False]
     again = docs.limit(0).union(spark.createDataFrame([(9, TWICE.replace("Maria", "Olga"), "en", "s", 0)], cases.DOCS))
     assert [r.items for r in decontamination.mark_leaks(spark, again, items).collect()] == [[11]]
     assert got[0].items == [7] and not got[0].reparameterised and got[1].reparameterised
@@ -100,6 +100,22 @@ def leaked(spark, item, *texts):
     return [r.leaked for r in decontamination.mark_leaks(spark, docs, items).orderBy("doc_id").collect()]
 
 
+def test_copies_in_any_letter_case_are_leaks(spark):
+    """Recall of planted copies in each case, against a plain join of lower-cased words; other texts stay clean."""
+    rng = random.Random(12)
+    names = ["Maria", "Peter", "Paris", "Olga"]
+    items = [" ".join(rng.choice([*names, str(rng.randrange(99)), *prose(rng, 6)]) for _ in range(rng.choice([9, 16, 30]))) for _ in range(30)]
+    forms = [str, str.lower, str.upper, str.title]
+    texts = [f"{' '.join(prose(rng, 30))} . {form(item)} . {' '.join(prose(rng, 30))}" for item in items for form in forms]
+    clean = [" ".join(prose(rng, 60)) for _ in range(40)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate([*texts, *clean])], cases.DOCS)
+    table = spark.createDataFrame([(i, item, 1) for i, item in enumerate(items)], BENCHMARK)
+    got = {r.doc_id: r for r in decontamination.mark_leaks(spark, docs, table).collect()}
+    for i in range(len(texts)):
+        assert got[i].leaked and i // 4 in got[i].items and (i % 4 > 0 or not got[i].reparameterised), texts[i]
+    assert not any(got[i].leaked for i in range(len(texts), len(texts) + 40))
+
+
 def test_one_changed_value_does_not_hide_a_leak(spark):
     apart = "she bought 2 apples at the old market and waited there for 2 hours until the rain was over"
     assert leaked(spark, apart, apart.replace("2 hours", "5 hours"), apart.replace("2", "3"), "she bought 2 apples") == [True, True, False]
