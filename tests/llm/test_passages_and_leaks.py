@@ -64,6 +64,78 @@ def test_chains_equal_a_quadratic_search():
         assert abs(score - max(best.values())) < 1e-9
 
 
+def longest_part(runs, identity):
+    """By trying all: words of the longest part that qualifies, gaps counted by their longer side."""
+    best = 0
+    for i in range(len(runs)):
+        equal = foreign = 0
+        for j in range(i, len(runs)):
+            if j > i:
+                foreign += max(runs[j][0] - runs[j - 1][0] - runs[j - 1][2], runs[j][1] - runs[j - 1][1] - runs[j - 1][2])
+            equal += runs[j][2]
+            if (1 - identity) * equal - identity * foreign >= -1e-9:
+                best = max(best, substring_dedup.shortest(runs[i], runs[j]))
+    return best
+
+
+def test_the_longest_part_of_a_chain_is_found():
+    rng = random.Random(11)
+    for _ in range(300):
+        runs, i, j = [], 0, 0
+        for _ in range(rng.randrange(1, 12)):
+            n = rng.randrange(1, 30)
+            runs.append([i, j, n])
+            i, j = i + n + rng.choice([0, 1, 2, 20]), j + n + rng.choice([1, 1, 3, 25])
+        for identity in (0.5, 0.8, 0.95):
+            begin, end = substring_dedup._longest(runs, 0, len(runs), identity)
+            assert substring_dedup.shortest(runs[begin], runs[end - 1]) == longest_part(runs, identity)
+
+
+def test_runs_are_equal_words_in_order():
+    rng = random.Random(12)
+    for _ in range(100):
+        body = [rng.randrange(1, 40) for _ in range(rng.randrange(20, 200))]
+        a = np.array(body, dtype=np.uint64)
+        b = list(body)
+        for _ in range(rng.randrange(4)):
+            at = rng.randrange(len(b))
+            b[at : at + rng.randrange(3)] = [rng.randrange(50, 90) for _ in range(rng.choice([0, 1, 2, 70]))]
+        b = np.array(b, dtype=np.uint64)
+        at = {tuple(b[j : j + 5].tolist()): j for j in range(len(b) - 4)}
+        matches = [(i, at[key]) for i in range(len(a) - 4) if (key := tuple(a[i : i + 5].tolist())) in at]
+        if not matches:
+            continue
+        x, y = np.array(matches).T
+        chain = substring_dedup.chains(x, y)[0]
+        end_a = end_b = 0
+        for i, j, n in substring_dedup.align(a, b, x[chain], y[chain]):
+            assert n > 0 and i >= end_a and j >= end_b and (a[i : i + n] == b[j : j + n]).all()
+            end_a, end_b = i + n, j + n
+
+
+def test_foreign_words_between_passages_cost_neither(spark):
+    rng = random.Random(13)
+    between, rows = [0, 60, 100, 200, 300], []
+    for k, n in enumerate(between):
+        first, second = prose(rng, 150), prose(rng, 150)
+        for side in (0, 1):
+            middle = [f"between{rng.randrange(10**9)}" for _ in range(n + side * (n > 0))]
+            rows.append((2 * k + side, " ".join([*first, *middle, *second]), "en", "s", 0))
+    # A changed tail: a passage, then words of which too few are equal.
+    shared, tail = prose(rng, 120), prose(rng, 120)
+    for side in (0, 1):
+        rows.append((100 + side, " ".join([*shared, *(w if i % 7 else f"own{side}x{i}" for i, w in enumerate(tail)), "end", str(side)]), "en", "s", 0))
+    docs = spark.createDataFrame(rows, cases.DOCS).repartition(3)
+    got = {r.doc_id: r for r in substring_dedup.repeated_passages(spark, docs).collect()}
+    for k, n in enumerate(between):
+        for side in (0, 1):
+            middle = n + side * (n > 0)
+            expected = [(0, 150), (150 + middle, 300 + middle)] if n else [(0, 300)]
+            assert [tuple(s) for s in got[2 * k + side].spans] == expected, (n, side, got[2 * k + side])
+    for side in (0, 1):
+        assert got[100 + side].spans[0].begin == 0 and got[100 + side].repeated_words >= 120
+
+
 def test_passages_of_edge_rows(spark):
     got = substring_dedup.repeated_passages(spark, cases.with_clashing_columns(cases.edge_docs(spark))).collect()
     assert len(got) == len(cases.edge_rows())
