@@ -317,6 +317,8 @@ FROM trades t JOIN resumed r ON r.symbol = t.sym WHERE t.mts >= r.start_mts""",
     "page_high_water_mark": f"WITH {TRADES} SELECT sym AS symbol, max(mts) AS max_mts FROM trades GROUP BY 1",
     "daily_parquet_roundtrip": f"""WITH {TRADES}
 SELECT {STORED_TRADES.format(symbol="'tBTCUSD'")}, strftime(day, 'tbtcusd_%y-%m-%d.parquet') AS file_name FROM trades""",
+    "compacted_history": f"""WITH {TRADES}
+SELECT {STORED_TRADES.format(symbol="'tBTCUSD'")} FROM trades""",
     "resumed_history": f"""WITH {TRADES}
 SELECT id, mts, CASE WHEN amount >= 0 THEN 'buy' ELSE 'sell' END AS side, {decimal_text("price")} AS price FROM trades""",
     "quarantine_page_rows": """

@@ -17,7 +17,7 @@ from tapeloom.plans.normalize_day import normalize_days
 from tapeloom.registry import analogues
 from tapeloom.registry.analogues import events_table, table
 from tapeloom.session import materialize, scratch_dir
-from tapeloom.sinks import capture_files, datasets, events as event_sink, history
+from tapeloom.sinks import capture_files, compaction, datasets, events as event_sink, history
 from tapeloom.sources import feeds, listing, raw_capture, trade_pages
 from tapeloom.streaming import jobs, sources as stream_sources
 
@@ -285,6 +285,22 @@ def daily_parquet_roundtrip(spark, sf_dir):
     return stored.withColumn("file_name", file_name).drop("date")
 
 
+@registered
+def compacted_history(spark, sf_dir):
+    """Loads that add to the same days, compacted between and after, one day range loaded anew in the snapshot."""
+    root, symbol = scratch_dir(spark, "compacted"), "tBTCUSD"
+    stored = history.to_stored(trades.unique_trades(page_trades(_one_symbol_pages(spark, sf_dir), symbol)))
+    stored = materialize(spark, stored, "compacted-trades")
+    for part in range(4):
+        history.append_new_trades(spark, stored.where(F.pmod("id", F.lit(4)) == part), root, symbol)
+        if part == 2:
+            compaction.compact_history(spark, root, symbol, least_files=2)
+    history.write_history(stored.where("date < DATE '2024-01-12'"), root, symbol)
+    compaction.compact_history(spark, root, symbol, least_files=2)
+    compaction.remove_replaced(spark, root, symbol, older_than_ms=0)
+    return history.read_history(spark, root, symbol).drop("date")
+
+
 @registered
 def resumed_history(spark, sf_dir):
     root = scratch_dir(spark, "resumed")

@@ -2,6 +2,7 @@
 
 Layout: <root>/<symbol partition>/date=<day>/*.parquet
         <root>/<symbol partition>/_checkpoints/save=<number>/*.json
+        <root>/<symbol partition>/_snapshots/, once the history has been compacted (see `sinks.snapshots`)
 """
 
 from __future__ import annotations
@@ -14,9 +15,17 @@ from tapeloom import schemas
 from tapeloom.operators.quality import check_checkpoint
 from tapeloom.operators.trades import last_trades_by_day, stored_form, with_date
 from tapeloom.session import materialize
+from tapeloom.sinks import snapshots
 from tapeloom.sources.raw_capture import partition_name
 
 
+def _ddl(schema) -> str:
+    return ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in schema)
+
+
+STORED = f"{_ddl(schemas.TRADES)}, date date"
+
+
 def history_path(root: str, symbol: str) -> str:
     return f"{root.rstrip('/')}/{partition_name(symbol)}"
 
@@ -29,8 +38,7 @@ def path_exists(spark: SparkSession, location: str) -> bool:
 
 def read_history(spark: SparkSession, root: str, symbol: str) -> DataFrame:
     """Stored trades with their `date`; a time range on `mts` reaches the scan."""
-    schema = f"{_ddl(schemas.TRADES)}, date date"
-    return spark.read.schema(schema).parquet(history_path(root, symbol))
+    return snapshots.read_days(spark, history_path(root, symbol), STORED)
 
 
 def write_history(
@@ -39,8 +47,12 @@ def write_history(
     """Write stored-form trades with `date`, replacing the days they hold; returns rows and newest day.
 
     Days are cut into ranges of time and id, so a day of any size is written by several tasks,
-    each file sorted and the files of a day in order.
+    each file sorted and the files of a day in order. In a compacted history the days are replaced by a snapshot,
+    at once for all readers; a load that meets a compaction fails with `snapshots.Conflict` and is to be repeated.
     """
+    spark, base = stored.sparkSession, history_path(root, symbol)
+    before = snapshots.current(spark, base)
+    run = snapshots.new_run()
     options = dict(schemas.PARQUET_OPTIONS)
     if row_group_bytes is not None:
         options["parquet.block.size"] = str(row_group_bytes)
@@ -56,8 +68,12 @@ def write_history(
         .option("partitionOverwriteMode", "dynamic")
         .options(**options)
         .partitionBy("date")
-        .parquet(history_path(root, symbol))
+        .parquet(base if before is None else snapshots.run_path(base, run))
     )
+    if before is not None:
+        snapshots.publish_days(spark, base, before, run)
+    elif snapshots.current(spark, base) is not None:
+        raise snapshots.Conflict(f"{base} was compacted during the load")
     return metrics.get["rows"], metrics.get["newest"]
 
 
@@ -157,7 +173,3 @@ def last_completed_day(
         if last is not None:  # a directory may hold no rows
             return day, last["last_trade_mts"], last["last_trade_id"]
     return None
-
-
-def _ddl(schema) -> str:
-    return ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in schema)
