@@ -2,6 +2,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import cases
 import corpus_pipeline
@@ -42,6 +43,21 @@ def test_the_mix_keeps_texts_whole(spark, tmp_path):
     assert all(abs(at[s] - target[s]) <= 430 / 2 + 1 for s in "abc")
 
 
+def test_columns_of_documents_keep_their_values(spark, tmp_path):
+    """Also those that operators would add themselves."""
+    names = ["score", "predicted", "target", "size", "taken", "placements", "leaked", "items", "dec_row", "dup_row", "row", "shard", "copy", "words", "mix_start", "a b.c"]
+    docs = spark.createDataFrame([r for r in cases.edge_rows() if r[0] not in (105, 106)], cases.DOCS)
+    docs = docs.select("*", *[F.concat(F.lit(name), F.col("doc_id").cast("string"), F.lit("x")).alias(name) for name in names])
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, cases.PROSE[1])], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    known = {tuple(r) for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        rows = out.collect()
+        assert out.columns == docs.columns and rows, name
+        assert {tuple(r) for r in rows} <= known, name
+
+
 def test_stages_take_empty_tables(spark, tmp_path):
     cases.empty_docs(spark).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
