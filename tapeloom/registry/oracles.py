@@ -319,6 +319,8 @@ FROM trades t JOIN resumed r ON r.symbol = t.sym WHERE t.mts >= r.start_mts""",
 SELECT {STORED_TRADES.format(symbol="'tBTCUSD'")}, strftime(day, 'tbtcusd_%y-%m-%d.parquet') AS file_name FROM trades""",
     "compacted_history": f"""WITH {TRADES}
 SELECT {STORED_TRADES.format(symbol="'tBTCUSD'")} FROM trades""",
+    "stored_day_extents": f"""WITH {TRADES}
+SELECT cast(day AS date) AS date, count(*) AS rows, min(mts) AS first, max(mts) AS last FROM trades GROUP BY 1""",
     "resumed_history": f"""WITH {TRADES}
 SELECT id, mts, CASE WHEN amount >= 0 THEN 'buy' ELSE 'sell' END AS side, {decimal_text("price")} AS price FROM trades""",
     "quarantine_page_rows": """

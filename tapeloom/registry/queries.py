@@ -301,6 +301,20 @@ def compacted_history(spark, sf_dir):
     return history.read_history(spark, root, symbol).drop("date")
 
 
+@registered
+def stored_day_extents(spark, sf_dir):
+    """Trades and their first and last instant per day: of appended files, and of the compacted ones beside them."""
+    root, symbol = scratch_dir(spark, "extents"), "tBTCUSD"
+    stored = history.to_stored(trades.unique_trades(page_trades(_one_symbol_pages(spark, sf_dir), symbol)))
+    stored = materialize(spark, stored, "extent-trades")
+    history.append_new_trades(spark, stored.where("id % 3 = 0"), root, symbol)
+    history.append_new_trades(spark, stored.where("id % 3 = 1"), root, symbol)
+    compaction.compact_history(spark, root, symbol, least_files=2)
+    compaction.remove_replaced(spark, root, symbol, older_than_ms=0)
+    history.append_new_trades(spark, stored, root, symbol)
+    return history.stored_extents(spark, root, symbol)
+
+
 @registered
 def resumed_history(spark, sf_dir):
     root = scratch_dir(spark, "resumed")

@@ -16,6 +16,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Counts and extremes come from file footers where a frame is read as `sinks.snapshots.read_footers` does.
+    "spark.sql.parquet.aggregatePushdown": "true",
     # The JVM never compiles methods over 8000 bytes. Stages whose generated code is larger, such
     # as the wide ticker projection, then use Spark's split projections, which it does compile.
     "spark.sql.codegen.hugeMethodLimit": "8000",

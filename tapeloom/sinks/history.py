@@ -41,6 +41,11 @@ def read_history(spark: SparkSession, root: str, symbol: str) -> DataFrame:
     return snapshots.read_days(spark, history_path(root, symbol), STORED)
 
 
+def stored_extents(spark: SparkSession, root: str, symbol: str) -> DataFrame:
+    """Stored trades and their first and last instant per day (`date`, `rows`, `first`, `last`), from file footers."""
+    return snapshots.day_extents(spark, history_path(root, symbol), STORED, "mts")
+
+
 def write_history(
     stored: DataFrame, root: str, symbol: str, row_group_bytes: int | None = None
 ) -> tuple[int, dt.date | None]:

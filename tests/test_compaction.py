@@ -174,3 +174,28 @@ def test_replaced_files_are_not_opened(spark, tmp_path):
             file.write(b"no Parquet")
     spark.catalog.clearCache()
     assert ids(history.read_history(spark, root, "tX")) == expected(6, [0])
+
+
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_extents_of_days_come_from_footers(spark, tmp_path):
+    root = str(tmp_path)
+    of = lambda: {tuple(r) for r in history.stored_extents(spark, root, "tX").collect()}
+    wanted = lambda n, days: {(DAYS[d], n, MIDNIGHTS[d], MIDNIGHTS[d] + n - 1) for d in days}
+    for i in range(4):
+        load(spark, root, [i])
+    text = plan(history.stored_extents(spark, root, "tX"))
+    assert "PushedAggregation: [COUNT(*), MIN(mts), MAX(mts)]" in text and "PushedGroupBy: [date]" in text
+    assert of() == wanted(4, (0, 1))
+    compaction.compact_history(spark, root, "tX")
+    assert of() == wanted(4, (0, 1))  # the replaced files still lie there
+    load(spark, root, [4])
+    assert of() == wanted(5, (0, 1))
+    compaction.remove_replaced(spark, root, "tX", older_than_ms=0)
+    load(spark, root, [5])
+    text = plan(history.stored_extents(spark, root, "tX"))
+    assert text.count("PushedAggregation: [COUNT(*), MIN(mts), MAX(mts)]") >= 2
+    assert of() == wanted(6, (0, 1))
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
