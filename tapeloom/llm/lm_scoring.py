@@ -17,8 +17,17 @@ with the totals in the order the block sent its hashes. With these a block build
 automaton that its own texts can reach, and scores them. An n-gram is moved once per block, not once per
 occurrence, so a frequent word or a group of copies costs no more than a rare one.
 
-Null and empty texts are one end token. Rows are scored one by one: copies and repeated rows each get
-their score. Columns other than the id and the text are not read. An empty table gives an empty result.
+With more than `FANOUT` blocks the exchange has levels, so that messages grow with the blocks and not with
+their square: `FANOUT` blocks are a group, and a task adds up one hash range of one group. What it has
+added up is sent on like a block, to tasks that hold a narrower range of `FANOUT` groups, until one group
+is left; the totals come back the same way. A task always holds about as many n-grams as a block.
+
+Rows of equal id and text are put together before the deal, some megabytes of rows at a time, and score
+once for all: a hot row reaches its block as a few rows with a number of copies.
+
+Null and empty texts are one end token. Copies and repeated rows each get their row and score, null ids
+included. Very long texts are read whole, in segments, by one task. Columns other than the id and the text
+are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,8 +41,11 @@ from pyspark.sql import functions as F
 
 from tapeloom.llm.blobs import pack_planes, pack_sorted, unpack_planes, unpack_sorted
 from tapeloom.llm.tokens import all_words, mix, seeds
+from tapeloom.session import materialize
 
 BLOCK_BYTES = 8 << 20
+FANOUT = 256
+COMBINED_BYTES = 8 << 20
 SEGMENT_WORDS = 2048
 _BEGIN, _END, _STEP = seeds(3, 101)
 _KIND = np.uint64(3)  # the low bits of a hash: order - 1, or 3 for the beginning of a text
@@ -71,52 +83,149 @@ def _distinct(grams: list[np.ndarray], depth: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate([g[depth >= k] for k, g in enumerate(grams)]))
 
 
-def _count_block(order: int, ranges: int):
+def _combine(batches):
+    """Rows of equal id and text as one row with their number, `COMBINED_BYTES` of rows at a time."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= COMBINED_BYTES:
+            yield from _combined(held)
+            held, size = [], 0
+    if held:
+        yield from _combined(held)
+
+
+def _combined(batches):
+    keys = ["doc_id", "held_out", "text"]
+    rows = pa.Table.from_batches(batches).group_by(keys, use_threads=False).aggregate([([], "count_all")])
+    yield from rows.select([*keys, "count_all"]).rename_columns([*keys, "copies"]).to_batches()
+
+
+def _cuts(values: np.ndarray, part: int, parts: int, ways: int) -> list[int]:
+    """Where ascending hashes, all in range `part` of `parts` equal ones, pass into each of its `ways` subranges."""
+    first = [_TOP * (part * ways + r) // (parts * ways) for r in range(1, ways)]
+    return [0, *(int(np.searchsorted(values, np.uint64(x))) for x in first), len(values)]
+
+
+def _messages(known: np.ndarray, counts: np.ndarray, sender: int, part: int, parts: int, ways: int, fanout: int) -> pa.Table:
+    """What a block, or a task that holds range `part` of a group, sends on: a row for each of `ways` subranges."""
+    cuts = _cuts(known, part, parts, ways)
+    # Empty ranges are sent, too: each answer carries its range's share of the token and type counts.
+    return pa.table(
+        {
+            "group": pa.array([sender // fanout] * ways, pa.int64()),
+            "part": pa.array([part * ways + r for r in range(ways)], pa.int64()),
+            "sender": pa.array([sender] * ways, pa.int64()),
+            "grams": pa.array([pack_sorted(known[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
+            "counts": pa.array([pack_planes(counts[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
+        }
+    )
+
+
+MESSAGES = "group bigint, part bigint, sender bigint, grams binary, counts binary"
+ANSWERS = "sender bigint, part bigint, totals binary, tokens bigint, types bigint"
+
+
+def _count_block(order: int, ways: int, fanout: int):
     def count(table: pa.Table) -> pa.Table:
         edges, grams, depth = _grams(table.column("text"), order)
         known = _distinct(grams, depth)
-        training = np.repeat(~table.column("held_out").to_numpy(), np.diff(edges))
-        seen, times = np.unique(
-            np.concatenate([g[(depth >= k) & training] for k, g in enumerate(grams)]), return_counts=True
-        )
-        counts = np.zeros(len(known), dtype=np.uint32)
-        counts[np.searchsorted(known, seen)] = times
-        cuts = [np.searchsorted(known, np.uint64(_TOP * r // ranges)) for r in range(ranges)] + [len(known)]
-        block = table.column("block")[0].as_py()
-        # Empty ranges are sent, too: each answer carries its range's share of the token and type counts.
-        rows = [(r, a, b) for r, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
-        return pa.table(
-            {
-                "part": pa.array([r for r, _, _ in rows], pa.int32()),
-                "block": pa.array([block] * len(rows), pa.int32()),
-                "grams": pa.array([pack_sorted(known[a:b]) for _, a, b in rows], pa.binary()),
-                "counts": pa.array([pack_planes(counts[a:b]) for _, a, b in rows], pa.binary()),
-            }
-        )
+        lengths = np.diff(edges)
+        training = np.repeat(~table.column("held_out").to_numpy(), lengths)
+        copies = np.repeat(table.column("copies").to_numpy(), lengths)
+        counts = np.zeros(len(known), dtype=np.uint64)
+        for more, weight in ((training, None), (training & (copies > 1), copies)):
+            if more.any():
+                seen = np.concatenate([g[(depth >= k) & more] for k, g in enumerate(grams)])
+                if weight is None:
+                    seen, times = np.unique(seen, return_counts=True)
+                else:
+                    times = np.concatenate([weight[(depth >= k) & more] for k in range(order)]) - 1
+                np.add.at(counts, np.searchsorted(known, seen), times.astype(np.uint64))
+        return _messages(known, counts, table.column("block")[0].as_py(), 0, 1, ways, fanout)
 
     return count
 
 
-def _add_up(table: pa.Table) -> pa.Table:
-    """Totals of one hash range, in each block's own order."""
+def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The n-grams of all messages, their counts added up, and the place of each message's n-grams among them."""
     grams = [unpack_sorted(x.as_buffer()) for x in table.column("grams")]
-    counts = [unpack_planes(x.as_buffer(), np.uint32) for x in table.column("counts")]
+    counts = [unpack_planes(x.as_buffer(), np.uint64) for x in table.column("counts")]
     known, place = np.unique(np.concatenate(grams), return_inverse=True)
     totals = np.bincount(place, weights=np.concatenate(counts), minlength=len(known)).astype(np.uint64)
-    words = totals[(known & _KIND) == 0]
-    ends = np.cumsum([len(g) for g in grams])
-    answers = [pack_planes(totals[p]) for p in np.split(place, ends[:-1])]
+    return known, totals, np.split(place, np.cumsum([len(g) for g in grams])[:-1])
+
+
+def _send_on(parts: int, ways: int, fanout: int):
+    def send(table: pa.Table) -> pa.Table:
+        known, totals, _ = _merged(table)
+        return _messages(known, totals, table.column("group")[0].as_py(), table.column("part")[0].as_py(), parts, ways, fanout)
+
+    return send
+
+
+def _answers(messages: pa.Table, places: list[np.ndarray], totals: np.ndarray, tokens: int, types: int) -> pa.Table:
+    """Totals of one hash range, in each sender's own order."""
     return pa.table(
         {
-            "block": table.column("block"),
-            "part": table.column("part"),
-            "totals": pa.array(answers, pa.binary()),
-            "tokens": pa.array([int(words.sum())] * len(grams), pa.int64()),
-            "types": pa.array([int((words > 0).sum())] * len(grams), pa.int64()),
+            "sender": messages.column("sender"),
+            "part": messages.column("part"),
+            "totals": pa.array([pack_planes(totals[p]) for p in places], pa.binary()),
+            "tokens": pa.array([tokens] * len(places), pa.int64()),
+            "types": pa.array([types] * len(places), pa.int64()),
         }
     )
 
 
+def _add_up(table: pa.Table) -> pa.Table:
+    known, totals, places = _merged(table)
+    words = totals[(known & _KIND) == 0]
+    return _answers(table, places, totals, int(words.sum()), int((words > 0).sum()))
+
+
+def _pass_back(messages: pa.Table, answers: pa.Table) -> pa.Table:
+    return _answers(messages, _merged(messages)[2], *_joined(answers))
+
+
+def _joined(answers: pa.Table) -> tuple[np.ndarray, int, int]:
+    """The totals of all ranges in order, and the token and type counts they carry."""
+    answers = answers.sort_by("part")
+    totals = np.concatenate([unpack_planes(x.as_buffer(), np.uint64) for x in answers.column("totals")])
+    tokens, types = (int(answers.column(c).to_numpy().sum()) for c in ("tokens", "types"))
+    return totals, tokens, types
+
+
+def exchange_ways(blocks: int, fanout: int) -> list[int]:
+    """Into how many subranges each level of the exchange cuts a range: one level for `fanout` blocks."""
+    ways = []
+    while blocks > fanout:
+        ways.append(fanout)
+        blocks = -(-blocks // fanout)
+    return [*ways, blocks]
+
+
+def _exchange(dealt: DataFrame, blocks: int, order: int, fanout: int) -> DataFrame:
+    """`ANSWERS` for each block (`sender`): a row per range with the totals of the block's n-grams in it."""
+    ways = exchange_ways(blocks, fanout)
+    levels = [dealt.groupBy("block").applyInArrow(_count_block(order, ways[0], fanout), MESSAGES)]
+    parts = ways[0]
+    for more in ways[1:]:
+        # Stored, since the way back needs the messages once more.
+        levels[-1] = materialize(dealt.sparkSession, levels[-1], "lm-messages")
+        levels.append(levels[-1].groupBy("group", "part").applyInArrow(_send_on(parts, more, fanout), MESSAGES))
+        parts *= more
+    answers = levels[-1].groupBy("group", "part").applyInArrow(_add_up, ANSWERS)
+    for messages, more in zip(reversed(levels[:-1]), reversed(ways[1:]), strict=True):
+        holder = F.floor(F.col("part") / more).cast("long")
+        answers = (
+            messages.groupBy("group", "part")
+            .cogroup(answers.groupBy(F.col("sender").alias("group"), holder.alias("part")))
+            .applyInArrow(_pass_back, ANSWERS)
+        )
+    return answers
+
+
 class _Automaton:
     """The states and arcs that the texts of one block can reach.
 
@@ -201,14 +310,12 @@ def _score_block(order: int, prior: float):
         empty = pa.schema(
             [("doc_id", pa.int64()), ("held_out", pa.bool_())]
             + [(name, pa.int64()) for name in ("n_tokens", "n_known", "train_tokens")]
-            + [("base_score", pa.float64()), ("score", pa.float64())]
+            + [("base_score", pa.float64()), ("score", pa.float64()), ("copies", pa.int64())]
         )
         if not docs.num_rows:
             return empty.empty_table()
         edges, grams, depth = _grams(docs.column("text"), order)
-        answers = answers.sort_by("part")
-        totals = np.concatenate([unpack_planes(x.as_buffer(), np.uint64) for x in answers.column("totals")])
-        tokens, types = (int(answers.column(c).to_numpy().sum()) for c in ("tokens", "types"))
+        totals, tokens, types = _joined(answers)
         machine = _Automaton(edges, grams, depth, _distinct(grams, depth), totals, tokens, types, prior)
         inside = depth > 0
         owner = np.repeat(np.arange(docs.num_rows), np.diff(edges))[inside]
@@ -224,6 +331,7 @@ def _score_block(order: int, prior: float):
                 "train_tokens": np.full(docs.num_rows, tokens),
                 "base_score": base - n_tokens * math.log10(tokens + types + 1),
                 "score": machine.scores(),
+                "copies": docs.column("copies"),
             },
             schema=empty,
         )
@@ -244,24 +352,24 @@ def score_texts(
     order: int = 2,
     prior: float = 100.0,
     block_bytes: int = BLOCK_BYTES,
+    fanout: int = FANOUT,
 ) -> DataFrame:
     """Scores of the texts of `docs` (`doc_id`, `text`) by a model learned from rows that aren't `held_out`.
 
     `order` is the longest n-gram, `prior` the weight of the shorter history, `block_bytes` the text one
-    task holds. Gives the columns of `SCORES`, a row for each row of `docs`.
+    task holds, `fanout` the blocks of a group. Gives the columns of `SCORES`, a row for each row of `docs`.
     """
     blocks = text_blocks(docs, block_bytes)
-    dealt = docs.select(
+    rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    ).withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-    counted = dealt.groupBy("block").applyInArrow(
-        _count_block(order, blocks), "part int, block int, grams binary, counts binary"
     )
-    answers = counted.groupBy("part").applyInArrow(
-        _add_up, "block int, part int, totals binary, tokens bigint, types bigint"
+    dealt = rows.mapInArrow(_combine, "doc_id bigint, held_out boolean, text string, copies bigint").withColumn(
+        "block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("long")
     )
-    return (
-        dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score_block(order, prior), SCORES)
+    answers = _exchange(dealt, blocks, order, fanout)
+    scored = dealt.groupBy("block").cogroup(answers.groupBy("sender")).applyInArrow(
+        _score_block(order, prior), f"{SCORES}, copies bigint"
     )
+    return scored.select("*", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copies", "col")

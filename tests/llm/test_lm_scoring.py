@@ -46,3 +46,34 @@ def test_nothing_to_learn_and_empty_table(spark):
     assert len(untrained) == len(cases.edge_rows()) and {r.train_tokens for r in untrained} == {0}
     assert all(r.score == 0 for r in untrained)
     assert lm_scoring.score_texts(cases.empty_docs(spark), F.lit(False)).count() == 0
+
+
+@pytest.mark.parametrize("fanout", [2, 3])
+def test_levels_of_the_exchange_change_no_score(spark, fanout):
+    docs = cases.edge_docs(spark).filter("doc_id not in (105, 106)")
+    held = fold("doc_id", 7) == 2
+    rows = lambda frame: sorted((str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in frame.collect())  # noqa: E731, E501
+    flat = rows(lm_scoring.score_texts(docs, held, prior=4.0, block_bytes=1 << 20))
+    assert len(lm_scoring.exchange_ways(lm_scoring.text_blocks(docs, 300), fanout)) >= 2
+    assert rows(lm_scoring.score_texts(docs, held, prior=4.0, block_bytes=300, fanout=fanout)) == flat
+
+
+def test_messages_grow_with_the_blocks():
+    for blocks in (1, 100, 256, 257, 5_000, 4_000_000, 13_000_000):
+        ways = lm_scoring.exchange_ways(blocks, 256)
+        assert max(ways) <= 256 and np.prod([float(w) for w in ways]) >= blocks
+        senders, parts, sent = blocks, 1, 0
+        for w in ways:
+            sent += senders * parts * w
+            senders, parts = -(-senders // 256), parts * w
+        assert senders == 1 and sent <= 256 * blocks * len(ways) * 2
+
+
+def test_hot_rows_reach_a_block_as_few(spark):
+    docs = spark.range(6000).selectExpr("IF(id % 3 = 0, id, NULL) AS doc_id", "IF(id % 3 = 0, 'a b c', IF(id % 3 = 1, 'x y', NULL)) AS text")
+    scored = lm_scoring.score_texts(docs.repartition(4), F.lit(False), order=2).groupBy("doc_id", "n_tokens", "train_tokens", "n_known").count()
+    rows = {(r.doc_id, r.n_tokens): r for r in scored.collect()}
+    assert len(rows) == 2002 and rows[None, 3]["count"] == rows[None, 1]["count"] == 2000
+    assert {r.train_tokens for r in rows.values()} == {2000 * (4 + 3 + 1)} and all(r.n_known == r.n_tokens for r in rows.values())
+    batch = docs.selectExpr("doc_id", "false AS held_out", "coalesce(text, '') AS text").toArrow().to_batches()
+    assert sum(len(b) for b in lm_scoring._combine(batch)) == 2002
