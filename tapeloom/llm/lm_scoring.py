@@ -44,7 +44,7 @@ from tapeloom.llm.tokens import all_words, mix, seeds
 from tapeloom.session import materialize
 
 BLOCK_BYTES = 8 << 20
-FANOUT = 256
+FANOUT = 4096
 COMBINED_BYTES = 8 << 20
 SEGMENT_WORDS = 2048
 _BEGIN, _END, _STEP = seeds(3, 101)
@@ -135,14 +135,15 @@ def _count_block(order: int, ways: int, fanout: int):
         training = np.repeat(~table.column("held_out").to_numpy(), lengths)
         copies = np.repeat(table.column("copies").to_numpy(), lengths)
         counts = np.zeros(len(known), dtype=np.uint64)
-        for more, weight in ((training, None), (training & (copies > 1), copies)):
-            if more.any():
-                seen = np.concatenate([g[(depth >= k) & more] for k, g in enumerate(grams)])
-                if weight is None:
-                    seen, times = np.unique(seen, return_counts=True)
-                else:
-                    times = np.concatenate([weight[(depth >= k) & more] for k in range(order)]) - 1
-                np.add.at(counts, np.searchsorted(known, seen), times.astype(np.uint64))
+        seen, times = np.unique(
+            np.concatenate([g[(depth >= k) & training] for k, g in enumerate(grams)]), return_counts=True
+        )
+        counts[np.searchsorted(known, seen)] = times
+        more = training & (copies > 1)
+        if more.any():
+            again = np.concatenate([g[(depth >= k) & more] for k, g in enumerate(grams)])
+            times = np.concatenate([copies[(depth >= k) & more] for k in range(order)]) - 1
+            np.add.at(counts, np.searchsorted(known, again), times.astype(np.uint64))
         return _messages(known, counts, table.column("block")[0].as_py(), 0, 1, ways, fanout)
 
     return count
