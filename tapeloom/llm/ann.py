@@ -1,17 +1,18 @@
 """Approximate nearest neighbours by learned partitions.
 
-1. A sample of at most `sample_rows` vectors, chosen by hash, gets its graph of nearest neighbours; the graph
-   is cut into parts of equal size by recursive bisection (spectral order, then swaps that keep balance).
+1. A sample of vectors, chosen by hash, gets its graph of nearest neighbours; the graph is cut into parts of
+   equal size by recursive bisection (spectral order, then swaps that keep balance). There is a part for each
+   `PART_ROWS` rows, from `PARTS` to `MOST_PARTS`, and at most `SAMPLE_ROWS`, or 64 a part, in the sample.
 2. A small network learns to tell, from a vector, in which parts its neighbours lie.
 3. Every row is indexed: it belongs to the part the network finds most probable.
 4. A query goes to its most probable parts, and all their vectors are ranked by the exact measure. How many
    parts is measured: the fewest with which `recall` of the true neighbours of up to `check_queries`
    queries, found by comparing these with every row, lie in the parts they go to.
 
-Vectors of a part, and the queries routed to it, are dealt into blocks of bounded size, so a part that holds
-a third of all rows, or many copies of one vector, is searched by many tasks. Nearness is the inner product
-in double precision, summed in the order of the components: equal vectors have equal scores, ties go to
-the smaller id.
+Vectors of a part are dealt into blocks of bounded size, so a part that holds a third of all rows, or many
+copies of one vector, is searched by many tasks. No vector is copied: a task holds one block and reads the
+queries routed to its part behind it, some at a time. Nearness is the inner product in double precision,
+summed in the order of the components: equal vectors have equal scores, ties go to the smaller id.
 
 Vectors that are null, zero, of another length than most, or hold null or non-finite components take no part,
 nor do rows with a null id. All rows with the query's id are its own. Repeated queries count once, repeated
@@ -28,7 +29,7 @@ from pyspark.sql.window import Window as W
 
 from tapeloom.session import materialize
 
-SAMPLE_ROWS, NEIGHBOURS, PARTS = 4096, 12, 32
+SAMPLE_ROWS, NEIGHBOURS, PARTS, MOST_PARTS, PART_ROWS = 4096, 12, 32, 1024, 50_000
 BLOCK_ROWS, BLOCK_QUERIES = 20_000, 2_000
 FOUND = "query_id bigint, vec_id bigint, score double"
 
@@ -209,30 +210,69 @@ def _routed(router: Router | None, sizes: np.ndarray, probes: int, count: int):
     return run
 
 
+def _runs(batches, keys: list[str]):
+    """Each batch in pieces of rows of equal `keys`, with the keys."""
+    for batch in batches:
+        if batch.num_rows:
+            columns = np.stack([batch.column(k).to_numpy() for k in keys])
+            cuts = np.flatnonzero((np.diff(columns) != 0).any(axis=0)) + 1
+            for begin, end in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+                yield tuple(columns[:, begin].tolist()), batch.slice(begin, end - begin)
+
+
 def _search(count: int):
-    def run(queries: pa.Table, vectors: pa.Table) -> pa.Table:
-        if not queries.num_rows or not vectors.num_rows:
-            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        return pa.table(
-            nearest(
-                queries.column("vec_id").to_numpy(), _matrix(queries.column("embedding")),
-                vectors.column("vec_id").to_numpy(), _matrix(vectors.column("embedding")), count,
-            )
-        )
+    """Nearest rows of a block for the queries that follow it; rows come in order of part, block and `asks`."""
+
+    def run(batches):
+        here, held, waiting = None, [], []
+
+        def answer():
+            ids, vectors = (np.concatenate(x) for x in zip(*held, strict=True))
+            queries = pa.Table.from_batches(waiting)
+            for begin in range(0, queries.num_rows, BLOCK_QUERIES):
+                asked = queries.slice(begin, BLOCK_QUERIES)
+                found = nearest(asked.column("vec_id").to_numpy(), _matrix(asked.column("embedding")), ids, vectors, count)
+                yield pa.RecordBatch.from_pydict(found)
+            held[:] = [(ids, vectors)]
+            waiting.clear()
+
+        for (part, block, asks), rows in _runs(batches, ["part", "block", "asks"]):
+            if (part, block) != here or sum(len(w) for w in waiting) >= BLOCK_QUERIES:
+                if held and waiting:
+                    yield from answer()
+                if (part, block) != here:
+                    here, held = (part, block), []
+                    waiting.clear()
+            if asks:
+                waiting.append(rows)
+            else:
+                held.append((rows.column("vec_id").to_numpy(), _matrix(rows.column("embedding"))))
+        if held and waiting:
+            yield from answer()
 
     return run
 
 
 def _compare_with_all(query_ids: np.ndarray, queries: np.ndarray, count: int):
+    """The nearest rows of a task for each query: what its batches give is cut down again and again."""
+
     def run(batches):
+        best = None
         for batch in batches:
             if batch.num_rows:
                 ids, vectors = batch.column("vec_id").to_numpy(), _matrix(batch.column("embedding"))
                 found = nearest(query_ids, queries, ids, vectors, count)
                 part = dict(zip(ids.tolist(), batch.column("part").to_pylist(), strict=True))
-                yield pa.RecordBatch.from_pydict(
-                    found | {"part": pa.array([part[i] for i in found["vec_id"].tolist()], pa.int32())}
-                )
+                found["part"] = np.array([part[i] for i in found["vec_id"].tolist()], dtype=np.int32)
+                if best is not None:
+                    found = {name: np.concatenate([best[name], found[name]]) for name in found}
+                order = np.lexsort((found["vec_id"], -found["score"], found["query_id"]))
+                found = {name: values[order] for name, values in found.items()}
+                first = np.searchsorted(found["query_id"], found["query_id"])
+                kept = np.arange(len(order)) - first < count
+                best = {name: values[kept] for name, values in found.items()}
+        if best is not None:
+            yield pa.RecordBatch.from_pydict(best)
 
     return run
 
@@ -263,19 +303,29 @@ def probes_for(
     return min(probes, parts), float(share[min(probes, parts) - 1])
 
 
+def part_count(rows: int) -> int:
+    """Parts for `rows` vectors: a power of two."""
+    return min(MOST_PARTS, max(PARTS, 1 << max(0, -(-rows // PART_ROWS) - 1).bit_length()))
+
+
 def search(
     spark: SparkSession,
     vectors: DataFrame,
     is_query: Column,
     *,
     count: int = 20,
-    parts: int = PARTS,
-    sample_rows: int = SAMPLE_ROWS,
+    parts: int | None = None,
+    sample_rows: int | None = None,
     recall: float = 0.96,
     check_queries: int = 256,
 ) -> DataFrame:
-    """`query_id`, `rank`, `vec_id`, `score` of the `count` nearest rows found for each row that `is_query`."""
+    """`query_id`, `rank`, `vec_id`, `score` of the `count` nearest rows found for each row that `is_query`.
+
+    `parts` and `sample_rows` follow the number of rows unless they are given.
+    """
     rows = usable(vectors)
+    parts = parts or part_count(vectors.count())
+    sample_rows = sample_rows or max(SAMPLE_ROWS, 64 * parts)
     sample = rows.orderBy(F.xxhash64(F.lit(1), "vec_id"), "vec_id").limit(sample_rows).select("embedding").toPandas()
     router = fit_router(np.array(sample["embedding"].tolist(), dtype=np.float64), parts) if len(sample) else None
     parts = len(router.weights[3]) if router else 1
@@ -288,22 +338,15 @@ def search(
         sizes[row["part"]] = row["count"]
     probes = probes_for(indexed, queries, router, parts, recall, check_queries, count)[0] if router else 1
     blocks = F.array(*[F.lit(int(-(-n // BLOCK_ROWS))) for n in np.maximum(sizes, 1)])
-    query_blocks = int(-(-queries.count() // BLOCK_QUERIES)) or 1
     routed = queries.mapInArrow(
         _routed(router, sizes, probes, count), "vec_id bigint, embedding array<double>, parts array<int>"
     )
-    block_of = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "vec_id"), n).cast("int")
     sent = (
-        routed.withColumn("query_block", block_of(3, F.lit(query_blocks)))
-        .withColumn("part", F.explode("parts"))
+        routed.withColumn("part", F.explode("parts"))
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.element_at(blocks, F.col("part") + 1) - 1)))
-        .select("part", "block", "query_block", "vec_id", "embedding")
-    )
-    stored = (
-        indexed.withColumn("block", block_of(4, F.element_at(blocks, F.col("part") + 1)))
-        .withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-        .select("part", "block", "query_block", "vec_id", "embedding")
+        .select("part", "block", F.lit(1).alias("asks"), "vec_id", "embedding")
     )
-    keys = ["part", "block", "query_block"]
-    found = sent.groupBy(*keys).cogroup(stored.groupBy(*keys)).applyInArrow(_search(count), FOUND)
-    return _best(found, count).select("query_id", "rank", "vec_id", "score")
+    block = F.pmod(F.xxhash64(F.lit(4), "vec_id"), F.element_at(blocks, F.col("part") + 1)).cast("int")
+    stored = indexed.select("part", block.alias("block"), F.lit(0).alias("asks"), "vec_id", "embedding")
+    together = stored.union(sent).repartition("part", "block").sortWithinPartitions("part", "block", "asks")
+    return _best(together.mapInArrow(_search(count), FOUND), count).select("query_id", "rank", "vec_id", "score")

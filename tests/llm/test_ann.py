@@ -66,3 +66,32 @@ def test_parts_are_balanced():
     rng = np.random.default_rng(1)
     label = ann.balanced_parts(ann.sample_graph(rng.standard_normal((512, 8)), 8), 8)
     assert set(np.bincount(label)) == {64}
+
+
+def test_parts_grow_with_the_rows_and_no_vector_is_copied(spark, monkeypatch):
+    assert [ann.part_count(n) for n in (0, 10, 1_600_000, 1_600_001, 10**7, 10**12)] == [32, 32, 32, 64, 256, 1024]
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 40)
+    rows = [(i, [1.0, i / 7, -1.0]) for i in range(300)]
+    held, asked = [], []
+    plain = ann.nearest
+
+    def spy(query_ids, queries, ids, vectors, count):
+        held.append(ids.tolist())
+        asked.append(len(query_ids))
+        return plain(query_ids, queries, ids, vectors, count)
+
+    monkeypatch.setattr(ann, "nearest", spy)
+    monkeypatch.setattr(ann, "BLOCK_QUERIES", 4)
+    batch = lambda part, block, asks, some: ann.pa.RecordBatch.from_pydict(
+        {"part": [part] * len(some), "block": [block] * len(some), "asks": [asks] * len(some),
+         "vec_id": [i for i, _ in some], "embedding": [v for _, v in some]}
+    )
+    batches = [batch(0, 0, 0, rows[:30]), batch(0, 0, 0, rows[30:40]), batch(0, 0, 1, rows[::20]), batch(0, 1, 1, rows[:3]),
+               batch(1, 0, 0, rows[40:80]), batch(2, 0, 0, rows[80:90]), batch(2, 0, 1, rows[:1])]
+    joined = ann.pa.Table.from_batches(batches).combine_chunks().to_batches()
+    for stream in (batches, joined):
+        held.clear(), asked.clear()
+        got = [r for b in ann._search(5)(iter(stream)) for r in b.to_pylist()]
+        assert {tuple(h) for h in held} == {tuple(range(40)), tuple(range(80, 90))}
+        assert max(asked) <= 4 and sum(asked) == 16
+        assert len(got) == 16 * 5
