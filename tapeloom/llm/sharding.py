@@ -1,19 +1,21 @@
 """Sharding by sampled splitters: shards of nearly equal bytes, equal texts side by side.
 
 1. Rows are ordered by a hash of the text, then a hash of the id: equal texts are neighbours.
-2. A sample is drawn with chances in proportion to size (by hash, so reruns agree), and its quantiles are
-   the boundaries of ranges. The sample grows with the number of ranges, one per `range_rows` rows, and
-   holds `draws` keys for each: at most some megabytes at the driver.
+2. A sample is drawn with chances in proportion to weight (by hash, so reruns agree), and its quantiles are
+   the boundaries of ranges. A row weighs half its share of all bytes and half its share of all rows, so that
+   neither a few long texts nor very many empty ones fill a range. The sample grows with the number of
+   ranges, one per `range_rows` rows, and holds `draws` keys for each: at most some megabytes at the driver.
 3. A text drawn for one boundary keeps its copies together: the boundary stands before the first of them.
-   A text drawn for several holds a whole range's bytes by itself and is subdivided by the hash of the id.
-4. The bytes of each range are counted. Ranges that came out over twice the mean are sampled again inside
+   A text drawn for several weighs a whole range by itself and is subdivided by the hash of the id.
+4. The weight of each range is added up. Ranges that came out over twice the mean are sampled again inside
    and subdivided.
 5. Sums over ranges, and a window within a range, place every row on the line of all bytes; shard
    boundaries cut this line into equal parts. Copies of one text whose bytes are under `together` of a
    shard go to one shard as a whole.
 
-Null texts have no bytes and size 1. Null ids, ties and repeated rows are ordered by hash and id; identical
-rows are interchangeable. Other columns are kept, but for those beginning with `cut_` and those named as the
+Null texts have no bytes and size 1. Very long texts are rows like others and are read for their hash and length.
+Null ids, ties and repeated rows are ordered by hash and id; rows of equal id and text are interchangeable and
+stay in one range. Other columns are kept, but for those beginning with `cut_` and those named as the
 columns that are added, which are replaced. Empty table: empty result.
 """
 
@@ -47,9 +49,9 @@ def _range_of(splitters: np.ndarray):
     return place
 
 
-def _sample(keyed: DataFrame, draws: float, total: int) -> np.ndarray:
-    """About `draws` keys, drawn in proportion to size; a row larger than total / draws is drawn several times."""
-    expected = F.col("size") * F.lit(draws / max(total, 1))
+def _sample(keyed: DataFrame, draws: float) -> np.ndarray:
+    """About `draws` keys of all rows, drawn in proportion to weight; a row over 1 / draws is drawn several times."""
+    expected = F.col("cut_weight") * F.lit(float(draws))
     chance = F.pmod(F.xxhash64(F.lit(9), "cut_text", "cut_doc"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     times = F.floor(expected + chance).cast("int")
     rows = keyed.select("cut_text", "cut_doc", times.alias("times")).filter("times > 0").toPandas()
@@ -67,18 +69,17 @@ def _quantiles(sample: np.ndarray, parts: int) -> np.ndarray:
     return np.unique(cuts, axis=0)
 
 
-def _splitters(keyed: DataFrame, rows: int, total: int, range_rows: int, draws: int) -> np.ndarray:
+def _splitters(keyed: DataFrame, rows: int, range_rows: int, draws: int) -> np.ndarray:
     ranges = max(LEAST_RANGES, -(-rows // range_rows))
-    splitters = _quantiles(_sample(keyed, ranges * draws, total), ranges)
-    filled = keyed.groupBy(_range_of(splitters)("cut_text", "cut_doc").alias("r")).agg(F.sum("size").alias("bytes"))
-    overfull = {row.r: row.bytes for row in filled.filter(F.col("bytes") > 2 * total / ranges).collect()}
+    splitters = _quantiles(_sample(keyed, ranges * draws), ranges)
+    filled = keyed.groupBy(_range_of(splitters)("cut_text", "cut_doc").alias("r")).agg(F.sum("cut_weight").alias("w"))
+    overfull = {row.r: row.w for row in filled.filter(F.col("w") > 2 / ranges).collect()}
     if overfull:
         inside = keyed.filter(_range_of(splitters)("cut_text", "cut_doc").isin(list(overfull)))
-        held = sum(overfull.values())
-        sample = _sample(inside, draws * ranges * held / total, held)
+        sample = _sample(inside, ranges * draws)
         place = np.array([tuple(k) for k in sample], dtype="i8,i8")
         at = np.searchsorted(np.array([tuple(k) for k in splitters], dtype="i8,i8"), place, "right")
-        more = [_quantiles(sample[at == r], -(-held_bytes * ranges // total)) for r, held_bytes in overfull.items()]
+        more = [_quantiles(sample[at == r], int(np.ceil(weight * ranges))) for r, weight in overfull.items()]
         splitters = np.unique(np.concatenate([splitters, *more]), axis=0)
     return splitters
 
@@ -97,7 +98,9 @@ def shard_documents(
         }
     )
     rows, total = keyed.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    place = _range_of(_splitters(keyed, rows, total, range_rows, draws) if rows else np.zeros((0, 2), dtype=np.int64))
+    weight = (F.col("size") / F.lit(float(max(total, 1))) + F.lit(1.0 / max(rows, 1))) / 2
+    keyed = keyed.withColumn("cut_weight", weight)
+    place = _range_of(_splitters(keyed, rows, range_rows, draws) if rows else np.zeros((0, 2), dtype=np.int64))
     ranged = keyed.withColumn("cut_range", place("cut_text", "cut_doc"))
     sums = ranged.groupBy("cut_range").agg(F.sum("size").alias("b"), F.count("*").alias("n"))
     line = W.partitionBy(F.lit(1)).orderBy("cut_range")
