@@ -9,7 +9,7 @@
    drawn without replacement, as a draw of blocks from all sources would give it (multivariate
    hypergeometric: one conditional hypergeometric draw per source, by inversion of a hash).
 4. Each leaf takes the next blocks of each source's permuted stream: disjoint ranges. Within a shard the
-   copies are put into an order permuted by another hash.
+   copies are shuffled: put into an order permuted by another hash (`local_order`, `placed_in_order`).
 
 Ranks in a source or a shard come from counts of hash buckets and a window within one bucket, so a source
 with a third of all rows is ordered by many tasks. Tables of one row per source are small beside the data;
@@ -32,7 +32,8 @@ from tapeloom.session import materialize
 
 WEIGHTS = (5.0, 2.0, 1.0)
 BROADCAST_ROWS = 100_000
-ADDED = ("size", "source_size", "target", "taken", "placements")
+ADDED = ("size", "source_size", "target", "taken", "placements", "stream_start")
+BUCKETS, BUCKET_ROWS = 256, 1_000_000
 SPREAD = 12  # standard deviations of a draw that are looked at: what lies beyond has probability 1e-30
 
 
@@ -122,6 +123,10 @@ def _bucket(order: Column, buckets: int) -> Column:
     return F.pmod(order, F.lit(buckets)).cast("int")
 
 
+def bucket_count(rows: DataFrame) -> int:
+    return max(BUCKETS, -(-rows.count() // BUCKET_ROWS))
+
+
 def mix_plan(
     spark: SparkSession,
     docs: DataFrame,
@@ -130,14 +135,16 @@ def mix_plan(
     weights: tuple[float, ...] = WEIGHTS,
     max_repeats: int = 3,
     block_words: int = 4096,
-    buckets: int = 256,
+    buckets: int | None = None,
     seed: int = 20,
 ) -> DataFrame:
-    """`docs` (`doc_id`, `text`, `source`, others) with `size`, `source_size`, `target`, `taken` and
-    `placements` (`copy`, `words`, `shard` of each copy taken), a row for each row.
+    """`docs` (`doc_id`, `text`, `source`, others) with `size`, `source_size`, `target`, `taken`, `placements`
+    (`copy`, `words`, `shard` of each copy taken) and `stream_start` (words of its source's stream before it), a
+    row for each row.
 
-    `buckets` is the number of hash buckets of a source: at most some millions of rows should fall in one.
+    `buckets` is the number of hash buckets of a source; without one it follows the rows, about `BUCKET_ROWS` a bucket.
     """
+    buckets = buckets or bucket_count(docs)
     sized = docs.drop(*ADDED).withColumns(
         {
             "size": word_count(F.col("text")),
@@ -183,8 +190,8 @@ def mix_plan(
                 p -> p.words > 0)"""
         ),
     ).withColumn("taken", F.expr("aggregate(placements, 0L, (a, p) -> a + p.words)")).drop(
-        "mix_order", "mix_bucket", "mix_offset", "mix_take", "mix_ends", "mix_start"
-    )
+        "mix_order", "mix_bucket", "mix_offset", "mix_take", "mix_ends"
+    ).withColumnRenamed("mix_start", "stream_start")
 
 
 def first_words(text: Column, words: Column) -> Column:
@@ -196,7 +203,7 @@ def first_words(text: Column, words: Column) -> Column:
 def mixed_documents(plan: DataFrame) -> DataFrame:
     """A row for each copy that `plan` takes, its text cut to the words taken, with `copy`, `words`, `shard`."""
     copies = plan.withColumn("mix_copy", F.explode("placements")).select(
-        *plan.drop("placements", "taken", "copy", "words", "shard").columns, "mix_copy.*"
+        *plan.drop("placements", "taken", "stream_start", "copy", "words", "shard").columns, "mix_copy.*"
     )
     cut = F.when(F.col("words") < F.col("size"), first_words(F.col("text"), F.col("words"))).otherwise(F.col("text"))
     return copies.withColumn("text", cut)
@@ -208,22 +215,50 @@ def whole_documents(plan: DataFrame) -> DataFrame:
     The copy that fills a source's target is there if that brings the source nearer to it than leaving it out.
     """
     copies = plan.withColumn("mix_copy", F.explode("placements")).select(
-        *plan.drop("placements", "taken", "copy", "words", "shard").columns, "mix_copy.*"
+        *plan.drop("placements", "taken", "stream_start", "copy", "words", "shard").columns, "mix_copy.*"
     )
     return copies.filter("2 * words >= size").withColumn("words", F.col("size"))
 
 
-def local_order(spark: SparkSession, mixed: DataFrame, *, buckets: int = 256, seed: int = 21) -> DataFrame:
-    """`mixed` with `slot`: the place of each copy in its shard's permuted order, without gaps from 0."""
-    hashed = mixed.withColumn(
-        "mix_order",
-        F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), F.col("source").cast("string"), F.col("text").cast("string"), "copy"),
-    ).withColumn("mix_bucket", _bucket(F.col("mix_order"), buckets))
+def _in_order(spark: SparkSession, hashed: DataFrame, ties: list[str], buckets: int | None) -> DataFrame:
+    """`slot` of each row: its place in its shard by `mix_order`, without gaps from 0."""
+    buckets = buckets or bucket_count(hashed)
+    hashed = hashed.withColumn("mix_bucket", _bucket(F.col("mix_order"), buckets))
     counts = materialize(spark, hashed.groupBy("shard", "mix_bucket").agg(F.count("*").alias("n")), "mix-slots")
     before = F.sum("n").over(W.partitionBy("shard").orderBy("mix_bucket")) - F.col("n")
-    within = W.partitionBy("shard", "mix_bucket").orderBy("mix_order", "doc_id", "copy")
+    within = W.partitionBy("shard", "mix_bucket").orderBy("mix_order", *ties)
     return (
         hashed.join(small(counts.select("shard", "mix_bucket", before.alias("mix_before"))), ["shard", "mix_bucket"])
         .withColumn("slot", F.col("mix_before") + F.row_number().over(within) - 1)
         .drop("mix_before", "mix_bucket", "mix_order")
     )
+
+
+def local_order(spark: SparkSession, mixed: DataFrame, *, buckets: int | None = None, seed: int = 21) -> DataFrame:
+    """`mixed` with `slot`: the place of each copy in its shard's permuted order, without gaps from 0."""
+    hashed = mixed.withColumn(
+        "mix_order",
+        F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), F.col("source").cast("string"), F.col("text").cast("string"), "copy"),
+    )
+    return _in_order(spark, hashed, ["doc_id", "copy"], buckets)
+
+
+def placed_in_order(spark: SparkSession, plan: DataFrame, *, buckets: int | None = None, seed: int = 21) -> DataFrame:
+    """The rows of `plan` without their texts, each of their `placements` with its `slot` in the shard's local shuffle.
+
+    A copy that is taken is named by its source and the place where it begins in that source's stream.
+    """
+    plan = materialize(spark, plan.drop("text"), "mix-plan")
+    key = ["source", "stream_start", "copy"]
+    copies = plan.select("source", "stream_start", F.explode("placements").alias("p")).select("source", "stream_start", "p.*")
+    hashed = copies.withColumn("mix_order", F.xxhash64(F.lit(seed), F.col("source").cast("string"), *key[1:]))
+    placed = _in_order(spark, hashed, key, buckets).groupBy("source", "stream_start").agg(
+        F.sort_array(F.collect_list(F.struct("copy", "words", "shard", "slot"))).alias("mix_placed")
+    )
+    same = F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d.stream_start") == F.col("p.stream_start"))
+    none = F.expr("CAST(array() AS ARRAY<STRUCT<copy: INT, words: BIGINT, shard: INT, slot: BIGINT>>)")
+    kept = [F.col(f"d.`{name}`") for name in plan.columns if name != "placements"]
+    # Documents that are not taken, any number of which may stand at one place, do not go into the join.
+    taken, rest = plan.filter(F.size("placements") > 0).alias("d"), plan.filter(F.size("placements") == 0).alias("d")
+    joined = taken.join(placed.alias("p"), same).select(*kept, F.col("mix_placed").alias("placements"))
+    return joined.union(rest.select(*kept, none.alias("placements")))

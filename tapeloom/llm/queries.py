@@ -86,8 +86,8 @@ def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words of each document in a mix of sources by weight, and the shards they go to."""
-    plan = mixing.mix_plan(spark, table(spark, sf_dir, "documents"))
+    """Words of each document in a mix of sources by weight, with the shard and the place in it of each copy."""
+    plan = mixing.placed_in_order(spark, mixing.mix_plan(spark, table(spark, sf_dir, "documents")))
     return plan.select("doc_id", "size", "source_size", "target", "taken", "source", "placements")
 
 

@@ -78,6 +78,33 @@ def test_tree_keeps_quotas_and_draws_like_an_urn(spark):
     assert all(abs(sums[s] / 40 - 40 / 3) < 0.8 for s in range(3))
 
 
+def test_placements_are_shuffled_in_their_shard(spark, uneven):
+    plan = mixing.mix_plan(spark, uneven, shards=4, block_words=16, buckets=8)
+    rows = mixing.placed_in_order(spark, plan, buckets=3).collect()
+    again = mixing.placed_in_order(spark, mixing.mix_plan(spark, uneven.repartition(5), shards=4, block_words=16, buckets=8)).collect()
+    assert len(rows) == uneven.count() and len({r.doc_id for r in rows}) == len(rows)
+    assert {r.doc_id: len(r.placements) for r in rows} == {r.doc_id: len(r.placements) for r in again}
+    plain = {r.doc_id: r.placements for r in plan.collect()}
+    slots = collections.defaultdict(list)
+    for r in rows:
+        assert [(p["copy"], p.words, p.shard) for p in r.placements] == [(p["copy"], p.words, p.shard) for p in plain[r.doc_id]]
+        for p in r.placements:
+            slots[p.shard].append((p.slot, r.source or "", r.stream_start))
+    for held in slots.values():
+        assert sorted(slot for slot, _, _ in held) == list(range(len(held)))
+        order = [(source, start) for _, source, start in sorted(held)]
+        assert order != sorted(order)  # not the order of the streams
+    for docs in (cases.with_clashing_columns(cases.edge_docs(spark)), cases.empty_docs(spark)):
+        placed = mixing.placed_in_order(spark, mixing.mix_plan(spark, docs))
+        assert placed.count() == docs.count()
+        assert all((r.taken > 0) == bool(r.placements) for r in placed.collect())
+
+
+def test_placed_in_order_runs_no_python(spark, uneven):
+    placed = mixing.placed_in_order(spark, mixing.mix_plan(spark, uneven))
+    assert "Python" not in placed._jdf.queryExecution().executedPlan().toString()
+
+
 def test_mix_of_edge_rows(spark):
     docs = cases.with_clashing_columns(cases.edge_docs(spark))
     plan = mixing.mix_plan(spark, docs)
@@ -123,3 +150,22 @@ def test_shards_of_edge_rows(spark):
     for shard in {r.shard for r in got}:
         assert sorted(r.slot for r in got if r.shard == shard) == list(range(sum(r.shard == shard for r in got)))
     assert sharding.shard_documents(cases.empty_docs(spark)).count() == 0
+
+
+def test_ranges_are_balanced_by_rows_as_by_bytes(spark):
+    rows = [(i, None if i % 3 == 0 else "" if i % 3 == 1 else f"text {i} " * 50, "en", "s", 0) for i in range(6000)]
+    docs = spark.createDataFrame(rows, cases.DOCS)
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.select(
+        F.xxhash64(text).alias("cut_text"),
+        F.xxhash64(F.lit(1), F.col("doc_id").cast("string")).alias("cut_doc"),
+        ((F.octet_length(text) + 1) / docs.agg(F.sum(F.octet_length(text) + 1)).first()[0] / 2 + 1 / 12000).alias("cut_weight"),
+    )
+    splitters = sharding._splitters(keyed, 6000, 100, 32)
+    counts = [r["count"] for r in keyed.groupBy(sharding._range_of(splitters)("cut_text", "cut_doc").alias("r")).count().collect()]
+    assert sum(counts) == 6000 and max(counts) <= 4 * 6000 / 64
+    got = sharding.shard_documents(docs, shards=8, range_rows=100).collect()
+    slots = collections.defaultdict(list)
+    for r in got:
+        slots[r.shard].append(r.slot)
+    assert len(got) == 6000 and all(sorted(s) == list(range(len(s))) for s in slots.values())
