@@ -13,28 +13,28 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tapeloom.sources.raw_capture import stored_bytes
 
-# A table with less than this per core is spread by a shuffle of its few bytes.
-SMALL_BYTES_PER_CORE = 64 * 1024 * 1024
+# A task gets this many stored bytes of a table: some 100,000 rows, whose messages take seconds to parse.
+TASK_BYTES = 2 * 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table, spread over the cores when it is too small to be split by the scan.
+    """A test table, spread over tasks of a few stored bytes each.
 
-    Parsing is the costly step, and a file with one row group would be parsed by one task. A
-    table large enough to give every core a split is read as it is, without a shuffle.
+    Parsing is the costly step: a file with one row group would be parsed by one task, and a split of
+    usual size holds millions of rows. The rows are small, so a shuffle of them costs little.
     """
-    return spread_small(spark.read.parquet(_path(sf_dir, name)), sf_dir, name)
+    return spread(spark.read.parquet(_path(sf_dir, name)), sf_dir, name)
 
 
 def _path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def spread_small(df: DataFrame, sf_dir: str, name: str) -> DataFrame:
+def spread(df: DataFrame, sf_dir: str, name: str) -> DataFrame:
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    small = 64 * 1024 < stored_bytes(spark, _path(sf_dir, name)) < cores * SMALL_BYTES_PER_CORE
-    return df.repartition(cores) if small else df
+    size = stored_bytes(spark, _path(sf_dir, name))
+    tasks = max(spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+    return df.repartition(tasks) if size > 64 * 1024 else df
 
 
 def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:

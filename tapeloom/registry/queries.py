@@ -385,6 +385,7 @@ def trades_enriched(spark, sf_dir):
 @registered
 def trades_enriched_salted(spark, sf_dir):
     rows = facts.trade_rows(analogues.trade_events(spark, sf_dir), keep=["line_no"])
+    rows = rows.select("line_no", "received_mts", "instrument_name", "price")
     joined = attach_terms(rows, _stored_terms(spark, sf_dir), strategy="salted", salt_by=["line_no", "received_mts"])
     return joined.select("line_no", "instrument_name", "price", "kind", "strike", "option_type")
 
@@ -649,7 +650,7 @@ def exchange_filter(spark, sf_dir):
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
     source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return analogues.with_millis(analogues.spread_small(source, sf_dir, "events"))
+    return analogues.with_millis(analogues.spread(source, sf_dir, "events"))
 
 
 def _run(query) -> None:

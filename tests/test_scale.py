@@ -1,0 +1,24 @@
+"""Work that must follow the input: facts parsed once, tables and capture files in tasks of bounded size."""
+
+import json
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from conftest import DAY, events_frame
+from pyspark.sql import functions as F
+
+from tapeloom import schemas
+from tapeloom.functions import json_values
+from tapeloom.operators import enrichment, facts, instruments
+from tapeloom.registry import analogues
+from tapeloom.sinks import capture_files, compaction, history, snapshots
+from tapeloom.sources import listing, raw_capture as raw
+
+
+def test_large_tables_are_spread_too(spark, tmp_path, monkeypatch):
+    pq.write_table(pa.table({"n": list(range(200_000))}), tmp_path / "lineitem.parquet")
+    monkeypatch.setattr(analogues, "TASK_BYTES", 20_000)
+    table = analogues.table(spark, str(tmp_path), "lineitem")
+    assert table.rdd.getNumPartitions() == -(-(tmp_path / "lineitem.parquet").stat().st_size // 20_000) > 8
+    assert table.agg(F.sum("n")).first()[0] == sum(range(200_000))
