@@ -22,3 +22,16 @@ def test_large_tables_are_spread_too(spark, tmp_path, monkeypatch):
     table = analogues.table(spark, str(tmp_path), "lineitem")
     assert table.rdd.getNumPartitions() == -(-(tmp_path / "lineitem.parquet").stat().st_size // 20_000) > 8
     assert table.agg(F.sum("n")).first()[0] == sum(range(200_000))
+
+
+@pytest.mark.parametrize("value, wanted", [("5", 5), ("5.0", None), ('"5"', None), ("1e3", None), ("-7", -7), ("true", None),
+                                           ("9223372036854775808", None), ("9223372036854775807", 2**63 - 1), ("null", None), ("[5]", None)])
+def test_whole_numbers_are_read_without_errors(spark, value, wanted):
+    assert json_values.read_type("bigint") == json_values.read_type("boolean") == "variant"
+    trade = f'{{"instrument_name":"A","trade_seq":{value},"price":1.5}}'
+    events = events_frame(spark, [("trades", f'{{"params":{{"data":{trade}}}}}')])
+    [row] = facts.trade_rows(events).collect()
+    assert (row["trade_seq"], row["price"]) == (wanted, "1.5")
+    listed = events_frame(spark, [("control", f'{{"result":[{{"instrument_name":"A","instrument_id":{value},"is_active":{value},"kind":"k"}}]}}')])
+    [row] = instruments.listed_instruments(listed).collect()
+    assert (row["instrument_id"], row["is_active"], row["kind"]) == (wanted, True if value == "true" else None, "k")
