@@ -35,3 +35,30 @@ def test_whole_numbers_are_read_without_errors(spark, value, wanted):
     listed = events_frame(spark, [("control", f'{{"result":[{{"instrument_name":"A","instrument_id":{value},"is_active":{value},"kind":"k"}}]}}')])
     [row] = instruments.listed_instruments(listed).collect()
     assert (row["instrument_id"], row["is_active"], row["kind"]) == (wanted, True if value == "true" else None, "k")
+
+
+def _terms(spark):
+    term_columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.INSTRUMENTS if f.name in schemas.TERM_COLUMNS)
+    names = [f.split()[0] for f in term_columns.split(", ")]
+    rows = [(f"I-{n}", *[n if name == "expiration_timestamp" else f"{name}{n}" for name in names]) for n in range(20)]
+    return spark.createDataFrame(rows, f"instrument_name string, {term_columns}")
+
+
+def test_facts_of_a_shuffled_join_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    rows = spark.createDataFrame([("hot" if n % 3 else f"I-{n % 25}", n) for n in range(300)], "instrument_name string, n int")
+    parsed = rows.mapInArrow(count, "instrument_name string, n int")
+    joined = enrichment.attach_terms(parsed, _terms(spark), strategy="salted", salt_by=["n"])
+    found = {r["n"]: r["kind"] for r in joined.collect()}
+    assert len(found) == 300 and found[3] == "kind3" and found[1] is None and found[21] is None is found[24]
+    assert made.value == 300
+    stored, heavy = enrichment.stored_with_heavy_keys(rows, ["instrument_name"])
+    assert sorted(heavy) == sorted(enrichment.heavy_keys(rows, ["instrument_name"])) and "3:hot" in heavy
+    assert stored.count() == 300
+    assert enrichment.stored_with_heavy_keys(rows.where("n < 0"), ["instrument_name"])[1] == []
