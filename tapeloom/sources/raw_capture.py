@@ -1,6 +1,8 @@
 """Raw captures: compressed JSON lines, one envelope per line.
 
 Layout read: <root>/<exchange>/<symbol>/<channel>/<symbol>_<channel>_<yy-mm-dd>.jsonl.zst, also .jsonl.gz and .jsonl
+A large file goes on in parts beside it, `<symbol>_<channel>_<yy-mm-dd>.part-00001.jsonl.gz` and so on; its own name is the
+first of them, and without that the others do not count.
 """
 
 from __future__ import annotations
@@ -26,6 +28,10 @@ SPREAD_FROM_BYTES = 4 * 1024 * 1024
 # As recorded, as `sinks.capture_files` writes them, and unpacked.
 SUFFIXES = (".jsonl.zst", ".jsonl.gz", ".jsonl")
 
+_PART = re.compile(r"\.part-(\d+)(?=\.jsonl)")
+# A part's place in its file stands above the bits of `monotonically_increasing_id`.
+PART_BITS, MAX_PARTS = 52, 2_000
+
 LINE_COLUMNS = "value string, line_no bigint, file_path string, date date"
 
 
@@ -35,6 +41,7 @@ class RawFile:
     channel: str
     date: dt.date
     size: int
+    part: int = 0
 
 
 def partition_name(symbol: str) -> str:
@@ -50,6 +57,18 @@ def raw_file_path(root: str, channel: str, day: dt.date, exchange: str, symbol:
     return f"{root.rstrip('/')}/{exchange}/{symbol}/{channel}/{name}"
 
 
+def part_path(path: str, part: int) -> str:
+    """Where a part of a capture file lies; part 0 has the file's own name."""
+    stem, suffix = re.fullmatch(r"(.*?)(\.jsonl[^/]*)", path).groups()
+    return f"{stem}.part-{part:05d}{suffix}" if part else path
+
+
+def whole_path(path: str) -> tuple[str, int]:
+    """The capture file that a path belongs to, and the number of the part."""
+    part = _PART.search(path)
+    return _PART.sub("", path), int(part.group(1)) if part else 0
+
+
 def list_raw_files(
     spark: SparkSession,
     root: str,
@@ -58,9 +77,9 @@ def list_raw_files(
     exchange: str = schemas.DERIVATIVES_EXCHANGE,
     symbol: str = schemas.DERIVATIVES_SYMBOL,
 ) -> list[RawFile]:
-    """The existing files of the given channels and days; one directory listing per channel.
+    """The existing files of the given channels and days, with their parts; one directory listing per channel.
 
-    A day that has a channel in two forms is an error, since its lines would count twice.
+    A day that has a channel in two forms is an error, since its lines would count twice, and so is a missing part.
     """
     days = sorted(set(dates))
     found = []
@@ -73,12 +92,22 @@ def list_raw_files(
         directory = path.rsplit("/", 1)[0] if days else None
         if directory is None:
             continue
+        forms: dict[str, dict[int, int]] = {}
         for name, size in _directory_files(spark, directory):
-            if name in wanted:
-                path, day = wanted[name]
-                if any(file.channel == channel and file.date == day for file in found):
-                    raise ValueError(f"{channel} of {day} lies in several forms below {directory}")
-                found.append(RawFile(path, channel, day, size))
+            whole, part = whole_path(name)
+            if whole in wanted:
+                forms.setdefault(whole, {})[part] = size
+        seen = set()
+        for whole, parts in forms.items():
+            path, day = wanted[whole]
+            if 0 not in parts:
+                continue
+            if day in seen:
+                raise ValueError(f"{channel} of {day} lies in several forms below {directory}")
+            seen.add(day)
+            if sorted(parts) != list(range(len(parts))):
+                raise FileNotFoundError(f"a part of {path} is missing")
+            found += [RawFile(part_path(path, part), channel, day, parts[part], part) for part in sorted(parts)]
     return found
 
 
@@ -115,8 +144,8 @@ def read_raw_lines(
 ) -> DataFrame:
     """Non-blank lines with their order: value, line_no, file_path, date.
 
-    A compressed file is read by one task, so `line_no`, taken right after the scan, grows with
-    the line order of each file. `cut_tails` names files (or "all") whose incomplete compressed
+    A compressed file, or a part of one, is read by one task, so `line_no`, taken right after the scan, grows with
+    the line order of each file, its part above all. `cut_tails` names files (or "all") whose incomplete compressed
     tail ends the file quietly with the whole lines before it kept; other files fail on it.
     `spread` distributes the lines for parsing; by default only when they are large enough to be worth a
     shuffle and there are fewer files than cores, or one holds over twice a core's share of all bytes.
@@ -155,7 +184,7 @@ def without_blank_lines(lines: DataFrame) -> DataFrame:
 def _with_order(text: DataFrame) -> DataFrame:
     return text.select(
         "value",
-        F.monotonically_increasing_id().alias("line_no"),
+        (F.monotonically_increasing_id() + F.shiftleft(file_part(F.col("_metadata.file_name")), PART_BITS)).alias("line_no"),
         F.col("_metadata.file_path").alias("file_path"),
         file_day(F.col("_metadata.file_name")).alias("date"),
     )
@@ -164,10 +193,20 @@ def _with_order(text: DataFrame) -> DataFrame:
 def file_day(file_name: Column) -> Column:
     """UTC day in a capture file name."""
     return F.try_to_timestamp(
-        F.regexp_extract(file_name, r"_(\d{2}-\d{2}-\d{2})\.jsonl", 1), F.lit("yy-MM-dd")
+        F.regexp_extract(file_name, r"_(\d{2}-\d{2}-\d{2})(?:\.part-\d+)?\.jsonl", 1), F.lit("yy-MM-dd")
     ).cast("date")
 
 
+def file_part(path: Column) -> Column:
+    """Number of the part in a capture file's path, 0 in a file's own name."""
+    return F.coalesce(F.try_to_number(F.nullif(F.regexp_extract(path, _PART.pattern, 1), F.lit("")), F.lit("99999")).cast("bigint"), F.lit(0).cast("bigint"))
+
+
+def whole_file(path: Column) -> Column:
+    """`whole_path` of a column of paths."""
+    return F.regexp_replace(path, _PART.pattern, "")
+
+
 def parse_envelopes(lines: DataFrame, text: str = "value", on_bad: str = "fail") -> DataFrame:
     """Envelope columns of each line, next to the other columns.
 

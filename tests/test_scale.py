@@ -62,3 +62,28 @@ def test_facts_of_a_shuffled_join_are_made_once(spark):
     assert sorted(heavy) == sorted(enrichment.heavy_keys(rows, ["instrument_name"])) and "3:hot" in heavy
     assert stored.count() == 300
     assert enrichment.stored_with_heavy_keys(rows.where("n < 0"), ["instrument_name"])[1] == []
+
+
+def test_a_large_capture_file_has_parts(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "archive")
+    rows = [("trades", json.dumps({"n": n})) for n in range(300)] + [("control", "{}")]
+    events = events_frame(spark, rows).repartition(5)
+    for part_bytes in (400, 1_000):  # the second replaces more parts by fewer
+        monkeypatch.setattr(capture_files, "PART_BYTES", part_bytes)
+        paths = capture_files.write_capture_files(events, root)
+        assert [p.rsplit("/", 1)[1] for p in paths] == [f"btc_{c}_26-06-29.jsonl.gz" for c in ("control", "trades")]
+        files = [f for f in raw.list_raw_files(spark, root, [DAY]) if f.channel == "trades"]
+        assert [f.part for f in files] == list(range(len(files))) and len(files) > 1
+        assert files[0].path == paths[1] and files[1].path.endswith("btc_trades_26-06-29.part-00001.jsonl.gz")
+        for spread in (False, True):
+            read = raw.read_raw_events(spark, files[::-1], spread=spread).orderBy("line_no").collect()
+            assert [json.loads(r["payload_text"])["n"] for r in read] == list(range(300))
+            assert {r["date"] for r in read} == {DAY}
+        listed = {r["path"].rsplit("/", 1)[1]: r for r in listing.capture_files(spark, root).collect()}
+        assert set(listed) == {p.rsplit("/", 1)[1] for p in paths}
+        assert listed["btc_trades_26-06-29.jsonl.gz"]["size_mb"] == sum(f.size for f in files) / 1024 / 1024
+        head = listing.file_head(spark, listed["btc_trades_26-06-29.jsonl.gz"]["path"], 200).collect()
+        assert [json.loads(r["payload_text"])["n"] for r in head] == list(range(200))
+    (tmp_path / files[1].path.removeprefix(f"{tmp_path}/")).unlink()
+    with pytest.raises(FileNotFoundError, match="a part of"):
+        raw.list_raw_files(spark, root, [DAY])
