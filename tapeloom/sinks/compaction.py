@@ -24,7 +24,7 @@ def compact_history(
     """Put together the small files of days that hold `least_files` of them; returns how many went in per day.
 
     Small is what has less than half of `target_bytes`; larger files stay, so a byte is rewritten a logarithmic number
-    of times. All days share one job, its number of files follows the bytes, each sorted and in order within the day.
+    of times. All days share one job, whose tasks follow the days and the bytes of large ones; files are sorted and in order within the day.
     Readers see the files of before until the new snapshot is published, and then those of after. Trades appended
     meanwhile are kept. A call that is interrupted changes nothing; one that meets another replacing writer raises
     `snapshots.Conflict` and changes nothing either.
@@ -35,7 +35,7 @@ def compact_history(
     files: dict[str, list[str]] = {}
     runs: dict[str, list[str]] = {}
     taken: dict[str, int] = {}
-    total = 0
+    sizes: dict[str, int] = {}
     for day in snapshots.days_of(spark, base):
         if wanted is not None and day not in wanted:
             continue
@@ -50,14 +50,16 @@ def compact_history(
         if count < max(least_files, 2) or count <= -(-held_bytes // target_bytes):
             continue
         files[day], runs[day], taken[day] = [f.name for f in small], small_runs, count
-        total += held_bytes
+        sizes[day] = held_bytes
     if not taken:
         return {}
     rows = _rows(spark, base, files, runs)
     run = snapshots.new_run()
-    parts = -(-total // target_bytes)
+    # A task sorts a day, or a part of one that is larger than a file: days apart need no task that holds them all.
+    whole_days = all(size <= target_bytes for size in sizes.values())
+    parts = sum(max(1, -(-size // target_bytes)) for size in sizes.values())
     (
-        rows.repartitionByRange(parts, "date", "mts", "id")
+        rows.repartitionByRange(parts, *(["date"] if whole_days else ["date", "mts", "id"]))
         .sortWithinPartitions("date", "mts", "id")
         .write.options(**schemas.PARQUET_OPTIONS)
         .partitionBy("date")

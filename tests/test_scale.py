@@ -87,3 +87,18 @@ def test_a_large_capture_file_has_parts(spark, tmp_path, monkeypatch):
     (tmp_path / files[1].path.removeprefix(f"{tmp_path}/")).unlink()
     with pytest.raises(FileNotFoundError, match="a part of"):
         raw.list_raw_files(spark, root, [DAY])
+
+
+def test_days_are_compacted_by_tasks_of_their_own(spark, tmp_path, monkeypatch):
+    root, symbol = str(tmp_path / "history"), "tBTCUSD"
+    columns = ["'bitfinex' exchange", "'tBTCUSD' symbol", "id", "id * 21600000 mts", "'t' timestamp", "'buy' side", "'1' amount",
+               "'1' amount_abs", "'2' price", "date_add(DATE'1970-01-01', cast(id div 4 as int)) date"]
+    for part in range(3):
+        history.append_new_trades(spark, spark.range(80).selectExpr(*columns).where(f"id % 3 = {part}"), root, symbol)
+    base = history.history_path(root, symbol)
+    taken = compaction.compact_history(spark, root, symbol, least_files=2)
+    assert len(taken) == 20 and set(compaction.file_counts(spark, root, symbol).values()) == {1}
+    [run] = {run for runs in snapshots.current(spark, base).runs.values() for run in runs}
+    writers = {f.name.split("-")[1] for day in taken for f in snapshots.data_files(spark, f"{snapshots.run_path(base, run)}/date={day}")}
+    assert len(writers) > 10  # tasks, by the number in a file's name
+    assert history.read_history(spark, root, symbol).count() == 80
