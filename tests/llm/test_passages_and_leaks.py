@@ -136,6 +136,50 @@ def test_foreign_words_between_passages_cost_neither(spark):
         assert got[100 + side].spans[0].begin == 0 and got[100 + side].repeated_words >= 120
 
 
+def test_holders_between_the_extreme_classes_are_linked(spark):
+    """Each line is in 12 texts, each pair of lines, which makes a passage, in three; a word between them differs."""
+    rng = random.Random(21)
+    first, second = ([prose(rng, 30) for _ in range(4)] for _ in range(2))
+    rows = []
+    for k in range(16):
+        for side in range(3):
+            body = [*prose(rng, 60), *first[k // 4], f"own{k}x{side}", *second[k % 4], *prose(rng, 60)]
+            rows.append((3 * k + side, " ".join(body), "en", "s", 0))
+    docs = spark.createDataFrame(rows, cases.DOCS).repartition(3)
+    got = {r.doc_id: r for r in substring_dedup.repeated_passages(spark, docs).collect()}
+    for i, r in got.items():
+        assert [tuple(s) for s in r.spans] == [(60, 121)] and r.n_links == 2, r
+        assert r.component_id == i // 3 * 3 and r.partner_id // 3 == i // 3, r
+
+
+def test_every_link_is_in_a_component(spark):
+    """Against all pairs: texts that share 50 equal words are of one component, members of a passage through it."""
+    rng = random.Random(22)
+    passages = [prose(rng, 60) for _ in range(10)]
+    rows, texts = [], {}
+    for i in range(60):
+        body = prose(rng, 30)
+        for passage in rng.sample(passages, rng.choice([0, 1, 1, 2])):
+            body += [*passage[: rng.choice([50, 55, 60])], *prose(rng, 20)]
+        texts[i] = body
+        rows.append((i, " ".join(body), "en", "s", 0))
+    grams = {i: {tuple(body[k : k + 50]) for k in range(len(body) - 49)} for i, body in texts.items()}
+    linked = [{i, j} for i in grams for j in grams if i < j and grams[i] & grams[j]]
+    expected = cases.components(grams, lambda a, b: a & b)
+    docs = spark.createDataFrame(rows, cases.DOCS).repartition(3)
+    got = {r.doc_id: r for r in substring_dedup.repeated_passages(spark, docs).collect()}
+    assert len(linked) > 100
+    assert {i: r.component_id for i, r in got.items()} == expected
+    assert all((r.n_links > 0) == any(i in pair for pair in linked) for i, r in got.items())
+
+
+def test_matches_hold_all_common_seeds_and_runs():
+    places = [np.array([5, 40, 0, 12, 24, 100, 112]), np.array([7, 300, 312, 324, 90])]
+    seeds = [np.array([1, 2, 9, 9, 9, 9, 9]), np.array([2, 9, 9, 9, 11])]
+    got = {tuple(m) for m in substring_dedup.matches(places[0], seeds[0], places[1], seeds[1]).tolist()}
+    assert {(40, 7), (0, 300), (12, 312), (24, 324), (100, 300), (112, 312)} <= got and {m[1] for m in got} == {7, 300, 312, 324}
+
+
 def test_passages_of_edge_rows(spark):
     got = substring_dedup.repeated_passages(spark, cases.with_clashing_columns(cases.edge_docs(spark))).collect()
     assert len(got) == len(cases.edge_rows())
