@@ -1,3 +1,4 @@
+import difflib
 import random
 
 import numpy as np
@@ -180,6 +181,60 @@ def test_matches_hold_all_common_seeds_and_runs():
     assert {(40, 7), (0, 300), (12, 312), (24, 324), (100, 300), (112, 312)} <= got and {m[1] for m in got} == {7, 300, 312, 324}
 
 
+def run_text(rng):
+    words = []
+    while len(words) < 200:
+        words += rng.choice([[rng.randrange(5)] * rng.randrange(5, 90), [1000 + k for k in range(rng.randrange(40), rng.randrange(50, 120))], [rng.randrange(30)]])
+    return np.array(words, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(77)
+
+
+def test_pairs_compared_together_equal_one_by_one(monkeypatch):
+    """Texts with runs of one repeated word; few of their many chains are aligned one by one."""
+    rng = random.Random(23)
+    with np.errstate(over="ignore"):
+        texts, places, seeds = [run_text(rng) for _ in range(30)], [], []
+        for text in texts:
+            kmers = substring_dedup.grams(text, substring_dedup.KMER)[: len(text) - substring_dedup.KMER + 1]
+            at = substring_dedup.text_seeds(kmers)
+            kept = substring_dedup._thin(at, kmers[at].view(np.int64), at)
+            places.append(at[kept])
+            seeds.append(kmers[at].view(np.int64)[kept])
+    left, right = np.array([(i, j) for i in range(30) for j in range(30) if i != j]).T
+    expected, aligned = [], 0
+    for pair, (i, j) in enumerate(zip(left.tolist(), right.tolist(), strict=True)):
+        found = substring_dedup.matches(places[i], seeds[i], places[j], seeds[j])
+        if len(found):
+            x, y = found.T
+            parts = sorted(substring_dedup.chains(x, y), key=lambda c: (x[c[0]], y[c[0]]))
+            ends = [[v[c[at]] for c in parts] for at in (0, -1) for v in (x, y)]
+            group = substring_dedup.joined([0] * len(parts), *ends)
+            for head in sorted(set(group)):
+                chain = np.concatenate([c for c, g in zip(parts, group, strict=True) if g == head])
+                if min(x[chain[-1]] - x[chain[0]], y[chain[-1]] - y[chain[0]]) + substring_dedup.KMER >= substring_dedup.LEAST_SPAN:
+                    aligned += 1
+                    runs = substring_dedup.align(texts[i], texts[j], x[chain], y[chain])
+                    expected += [(pair, *row) for row in substring_dedup.stretches(runs, 50, 0.8)]
+    calls, align = [], substring_dedup.align
+    monkeypatch.setattr(substring_dedup, "align", lambda *a: calls.append(a) or align(*a))
+    bags = substring_dedup._Bags(np.concatenate(places), np.concatenate(seeds), np.array([len(p) for p in places]))
+    words = substring_dedup._Texts(np.concatenate(texts), np.cumsum([0, *map(len, texts)]))
+    got = substring_dedup.pair_passages(bags, words, left, right, 50, 0.8)
+    assert len(expected) > 200 and sorted(map(tuple, got.tolist())) == sorted(tuple(map(int, row)) for row in expected)
+    assert len(calls) < aligned / 2
+
+
+def test_blocks_equal_those_of_difflib():
+    rng = random.Random(24)
+    for _ in range(500):
+        kinds = rng.choice([1, 2, 3, 8])
+        a, b = (np.array([w for _ in range(rng.randrange(1, 14)) for w in [rng.randrange(kinds)] * rng.choice([1, 1, 2, 5, 9])], dtype=np.uint64) for _ in range(2))
+        equal = difflib.SequenceMatcher(None, a.tolist(), b.tolist(), autojunk=False).get_matching_blocks()
+        found = []
+        for block in substring_dedup.blocks(a, b):
+            substring_dedup._add(found, *block)
+        assert found == [list(block) for block in equal if block.size]
+
+
 def test_passages_of_edge_rows(spark):
     got = substring_dedup.repeated_passages(spark, cases.with_clashing_columns(cases.edge_docs(spark))).collect()
     assert len(got) == len(cases.edge_rows())
