@@ -1,6 +1,8 @@
 """Work that must follow the input: facts parsed once, tables and capture files in tasks of bounded size."""
 
+import datetime as dt
 import json
+import os
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -12,7 +14,7 @@ from tapeloom import schemas
 from tapeloom.functions import json_values
 from tapeloom.operators import enrichment, facts, instruments
 from tapeloom.registry import analogues
-from tapeloom.sinks import capture_files, compaction, history, snapshots
+from tapeloom.sinks import capture_files, compaction, datasets, events as event_sink, history, snapshots
 from tapeloom.sources import listing, raw_capture as raw
 
 
@@ -102,3 +104,46 @@ def test_days_are_compacted_by_tasks_of_their_own(spark, tmp_path, monkeypatch):
     writers = {f.name.split("-")[1] for day in taken for f in snapshots.data_files(spark, f"{snapshots.run_path(base, run)}/date={day}")}
     assert len(writers) > 10  # tasks, by the number in a file's name
     assert history.read_history(spark, root, symbol).count() == 80
+
+
+def _shuffle_files(spark):
+    places = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {name for place in places for _, _, names in os.walk(place) for name in names if name.startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_their_execution(spark, tmp_path):
+    before = _shuffle_files(spark)
+    rows = spark.range(10_000).repartition(5).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n"))
+    rows.write.parquet(str(tmp_path / "out"))
+    assert not _shuffle_files(spark) - before
+    assert sorted(r["n"] for r in rows.collect()) == sorted(r["n"] for r in rows.collect()) == [1428, 1428, 1428, 1429, 1429, 1429, 1429]
+    assert not _shuffle_files(spark) - before
+
+
+def test_rows_that_lie_together_are_landed_without_a_shuffle(spark, tmp_path, monkeypatch):
+    events = events_frame(spark, [("trades", json.dumps({"n": n})) for n in range(200)]).repartition(4)
+    for least, files in ((50, 4), (51, 1)):  # 50 rows of one directory in each of 4 tasks
+        monkeypatch.setattr(event_sink, "LEAST_FILE_ROWS", least)
+        root = str(tmp_path / f"landed-{least}")
+        event_sink.append_events(events, root, gather=True)
+        landed = raw.read_landed_events(spark, root)
+        assert len(landed.inputFiles()) == files
+        assert sorted(json.loads(r["payload_text"])["n"] for r in landed.collect()) == list(range(200))
+    empty = str(tmp_path / "empty")
+    event_sink.append_events(events.limit(0), empty, gather=True)
+    assert not os.path.exists(f"{empty}/exchange=deribit")
+
+
+def test_files_of_enough_rows_are_not_written_twice(spark, tmp_path, monkeypatch):
+    days = [DAY, DAY + dt.timedelta(days=1)]
+    rows = spark.range(0, 400, 1, 4).withColumn("date", F.date_add(F.lit(DAY), (F.col("id") % 2).cast("int")))
+    for field in schemas.INSTRUMENTS:
+        rows = rows.withColumn(field.name, (F.col("id") if field.name == "instrument_name" else F.lit(None)).cast(field.dataType))
+    for least, files in ((50, 8), (51, 2)):  # 50 rows of a day in each of 4 tasks
+        monkeypatch.setattr(datasets, "LEAST_FILE_ROWS", least)
+        root = str(tmp_path / f"stored-{least}")
+        assert datasets.write_dataset(rows, root, "instruments", days) == {day: 200 for day in days}
+        stored = datasets.read_dataset(spark, root, "instruments", days)
+        assert len(stored.inputFiles()) == files
+        assert sorted(int(r["instrument_name"]) for r in stored.collect()) == list(range(400))
+        assert sorted(os.listdir(f"{root}/deribit/btc/instruments")) == [f"date={day}" for day in days]
