@@ -20,7 +20,7 @@ from tapeloom.sources.raw_capture import MAX_PARTS, part_path, raw_file_path, wh
 SUFFIX = ".jsonl.gz"
 # Payload bytes of a part before compression, by which they shrink about tenfold.
 PART_BYTES = 128 * 1024 * 1024
-_PLACE = ("exchange_dir", "symbol_dir", "channel_dir", "date")
+_PLACE = ("exchange_dir", "symbol_dir", "channel_dir", "day_dir")
 
 
 def write_capture_files(events: DataFrame, root: str, order: Sequence[str] = ("received_mts",)) -> list[str]:
@@ -33,20 +33,20 @@ def write_capture_files(events: DataFrame, root: str, order: Sequence[str] = ("r
     spark = events.sparkSession
     names = [symbol_partition_name(F.col(c)).alias(f"{c}_dir") for c in ("exchange", "symbol", "channel")]
     line = F.to_json(F.struct(*schemas.ENVELOPE.names)).alias("value")
+    columns = list(dict.fromkeys([*order, *schemas.ENVELOPE.names]))
     payload = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in ("payload_text", "payload_base64")), F.lit(0).cast("bigint"))
-    lines = with_receipt_day(events).select(
-        *names, "date", *[F.col(c).alias(f"order_{c}") for c in order], line, payload.alias("payload_bytes")
-    )
+    rows = with_receipt_day(events).select(*names, F.col("date").alias("day_dir"), *columns, payload.alias("payload_bytes"))
     # One row per channel and day. Folders by number keep the order of lines: by texts Spark would sort once more.
-    sizes = lines.groupBy(*_PLACE).agg(F.sum("payload_bytes").alias("bytes")).orderBy(*_PLACE).collect()
+    sizes = rows.groupBy(*_PLACE).agg(F.sum("payload_bytes").alias("bytes")).orderBy(*_PLACE).collect()
     numbered = [(*(row[c] for c in _PLACE), number) for number, row in enumerate(sizes)]
     part_bytes = max(PART_BYTES, *[-(-row["bytes"] // MAX_PARTS) for row in sizes], 1)
     parts = sum(max(1, -(-row["bytes"] // part_bytes)) for row in sizes)
-    numbers = spark.createDataFrame(numbered, "exchange_dir string, symbol_dir string, channel_dir string, date date, file_no int")
-    keys = ["file_no", *[f"order_{c}" for c in order]]
-    placed = lines.join(F.broadcast(numbers), list(_PLACE)).select(*keys, "value")
+    numbers = spark.createDataFrame(numbered, "exchange_dir string, symbol_dir string, channel_dir string, day_dir date, file_no int")
+    keys = ["file_no", *order]
+    # Lines are made after the shuffle: their quoted payloads and names would cross it and be made for its bounds, too.
+    placed = rows.join(F.broadcast(numbers), list(_PLACE)).select("file_no", *columns)
     placed = placed.repartition("file_no") if parts == len(numbered) else placed.repartitionByRange(parts, *keys)
-    placed = placed.sortWithinPartitions(*keys).select("file_no", "value")
+    placed = placed.sortWithinPartitions(*keys).select("file_no", line)
     staging = f"{root.rstrip('/')}/_staging-{uuid.uuid4().hex}"
     placed.write.partitionBy("file_no").option("compression", "gzip").text(staging)
     hadoop = spark._jvm.org.apache.hadoop.fs

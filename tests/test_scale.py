@@ -147,3 +147,20 @@ def test_files_of_enough_rows_are_not_written_twice(spark, tmp_path, monkeypatch
         assert len(stored.inputFiles()) == files
         assert sorted(int(r["instrument_name"]) for r in stored.collect()) == list(range(400))
         assert sorted(os.listdir(f"{root}/deribit/btc/instruments")) == [f"date={day}" for day in days]
+
+
+@pytest.mark.parametrize("part_bytes", [400, 1 << 30])
+def test_lines_of_capture_files_are_made_after_the_shuffle(spark, tmp_path, monkeypatch, part_bytes):
+    monkeypatch.setattr(capture_files, "PART_BYTES", part_bytes)
+    events = events_frame(spark, [("trades", json.dumps({"n": n})) for n in range(30)]).repartition(3)
+    crossed = []
+    for name in ("repartition", "repartitionByRange"):
+        def recorded(self, *of, made=getattr(type(events), name)):
+            crossed.append(self.columns)
+            return made(self, *of)
+
+        monkeypatch.setattr(type(events), name, recorded)
+    [path] = capture_files.write_capture_files(events, str(tmp_path), order=("payload_text", "line_no"))
+    assert crossed == [["file_no", "payload_text", "line_no", *[c for c in schemas.ENVELOPE.names if c != "payload_text"]]]
+    lines = [json.loads(r["payload_text"])["n"] for r in listing.file_head(spark, path, 30).collect()]
+    assert lines == sorted(range(30), key=lambda n: json.dumps({"n": n}))
