@@ -1,9 +1,12 @@
 import difflib
+import os
 import random
 
 import numpy as np
+import pytest
 
 import cases
+from tapeloom import session
 from tapeloom.llm import decontamination, substring_dedup
 
 
@@ -223,6 +226,30 @@ def test_pairs_compared_together_equal_one_by_one(monkeypatch):
     assert len(calls) < aligned / 2
 
 
+def test_tiles_are_filled_in_rounds_and_scratch_tables_go(spark, monkeypatch, tmp_path):
+    rng = random.Random(21)
+    shared = [prose(rng, 70) for _ in range(4)]
+    texts = [" ".join([*prose(rng, 30), *shared[i % 4], *prose(rng, 30)]) for i in range(24)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], cases.DOCS)
+    made, at_once = [], substring_dedup.materialize
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path))
+    monkeypatch.setattr(substring_dedup, "materialize", lambda spark, df, name: made.append(name) or at_once(spark, df, name))
+    found = []
+    for tile_pairs, texts_at_once, least in ((1 << 14, 2, 1 << 28), (4, 0, 6_000)):
+        monkeypatch.setattr(substring_dedup, "TILE_PAIRS", tile_pairs)
+        monkeypatch.setattr(substring_dedup, "ROUND_TEXTS", texts_at_once)
+        monkeypatch.setattr(substring_dedup, "ROUND_BYTES", least)
+        made.clear()
+        found.append(sorted(map(tuple, substring_dedup.repeated_passages(spark, docs).drop("spans").collect())))
+        assert (made.count("passages") > 5) == (least == 6_000)
+    assert found[0] == found[1] and sum(row[5] > 0 for row in found[0]) > 20
+    left = {name.split("-", 1)[1].rsplit("-", 1)[0] for name in os.listdir(tmp_path)}
+    assert "passages" in left and not left & {"seeds", "keys", "key-ends", "stars", "apart", "pairs", "tiles", "tile-texts", "passage-texts"}
+    with pytest.raises(ValueError, match="no scratch table"):
+        docs.write.parquet(f"{tmp_path}/other")
+        session.discard(spark.read.parquet(f"{tmp_path}/other"))
+
+
 def test_blocks_equal_those_of_difflib():
     rng = random.Random(24)
     for _ in range(500):
